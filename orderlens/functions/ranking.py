@@ -149,7 +149,8 @@ def exact_percentiles(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> Da
     )
     low = F.max(F.when(F.col("_low").between(F.col("_start"), F.col("_end") - 1), F.col("_value")))
     high = F.max(F.when(F.col("_high").between(F.col("_start"), F.col("_end") - 1), F.col("_value")))
-    found = inside.groupBy("_name").agg((low + F.first("_fraction") * (high - low)).alias("_answer"))
+    between = low * (1 - F.first("_fraction")) + high * F.first("_fraction")
+    found = inside.groupBy("_name").agg(F.when(low == high, low).otherwise(between).alias("_answer"))
     return found.agg(*[F.max(F.when(F.col("_name") == name, F.col("_answer"))).alias(name) for name in wanted])
 
 
