@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions.ranking import exact_percentiles
 from ..schemas import DATE_COLUMNS, LINE_COLUMNS, MEASURES
+from ..session import stored
 
 DATE_FORMATS = ["yyyy-MM-dd", "M/d/yyyy"]
 UNKNOWN = "Unknown"
@@ -91,5 +92,9 @@ def typed_lines(df: DataFrame) -> DataFrame:
 
 
 def clean_sales(df: DataFrame) -> DataFrame:
-    """Raw lines to clean lines."""
-    return df.transform(typed_lines).transform(impute_median).transform(fill_unknown)
+    """Raw lines to clean lines.
+
+    The typed lines are stored once. The medians then read four columns of them, and the result is
+    a projection, so that text is parsed and rows are compared a single time.
+    """
+    return stored(typed_lines(df), "typed_lines").transform(impute_median).transform(fill_unknown)

@@ -71,11 +71,15 @@ _VIEWS = {
     "sold_goods": "SELECT * FROM sold JOIN goods ON l_partkey = p_partkey",
     "goods_lines": "SELECT * FROM lines JOIN goods ON l_partkey = p_partkey",
     "sold_all": "SELECT * FROM sold_to JOIN goods ON l_partkey = p_partkey",
+    "numbered": """
+        SELECT *, o_custkey AS c_custkey, cast(o_custkey AS varchar) AS customer_id,
+            cast(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
+                l_extendedprice, l_quantity, l_discount) AS integer) AS row_id
+        FROM sold""",
     "staging": """
-        SELECT *, cast(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
-                l_extendedprice, l_quantity, l_discount) AS integer) AS row_id,
+        SELECT n.*, customer_name, segment, state, region, goods.*,
             'United States' AS country, cast(NULL AS varchar) AS city, cast(NULL AS varchar) AS postal_code
-        FROM sold_all""",
+        FROM numbered n JOIN buyers ON n.o_custkey = buyers.c_custkey JOIN goods ON l_partkey = p_partkey""",
     "raw": """
         SELECT cast(row_id AS varchar) AS row_id, order_id,
             CASE WHEN l_orderkey % 101 = 0 THEN 'bad' WHEN l_orderkey % 2 = 1 THEN strftime(order_date, '%-m/%-d/%Y')
@@ -223,7 +227,7 @@ _GROWTH = f"""
     SELECT year(ds) AS order_year, month(ds) AS order_month, sales_c / 1e2 AS monthly_total,
         coalesce({pct('sales_c - before', 'before')}, 0) AS sales_growth_pct
     FROM (SELECT *, lag(sales_c) OVER (ORDER BY ds) AS before FROM months)"""
-_HIGH = "sales_c / 1e2 > (SELECT quantile_cont(sales_c / 1e2, 0.75) FROM staging)"
+_HIGH = "sales_c / 1e2 > (SELECT quantile_cont(sales_c / 1e2, 0.75) FROM numbered)"
 
 _FACT_COLUMNS = f"""{{keys}} quantity, {half_away('sales_c', '100 * greatest(quantity, 1)', 2)} AS unit_price,
     disc_e4 / 1e4 AS discount_rate, sales_c / 1e2 AS gross_sales, net_c / 1e2 AS net_sales, cogs_c / 1e2 AS cogs,
@@ -381,30 +385,30 @@ _QUERIES: dict[str, tuple[str, str]] = {
     "clean_sales": (_CLEAN, "SELECT * FROM clean"),
     "date_parts": (
         _ID + "order_year integer, order_month integer, order_quarter integer, order_week integer, order_dow varchar",
-        f"SELECT *, {_CALENDAR_PARTS} FROM staging",
-    ),
-    "shipping_days": (_ID + "shipping_days integer", "SELECT * FROM staging"),
-    "profit_margin_pct": (_ID + "profit_margin_pct double", f"SELECT *, {_LINE_MARGIN} AS profit_margin_pct FROM staging"),
-    "discounted_revenue": (_ID + "discounted_revenue double", "SELECT *, net_c / 1e2 AS discounted_revenue FROM staging"),
-    "cogs": (_ID + "cogs double", "SELECT *, cogs_c / 1e2 AS cogs FROM staging"),
-    "customer_ltv": (_ID + "customer_ltv double", f"SELECT *, {_LTV} AS customer_ltv FROM staging"),
-    "customer_order_rank": (_ID + "customer_order_rank integer", f"SELECT *, {_RANK} AS customer_order_rank FROM staging"),
+        f"SELECT *, {_CALENDAR_PARTS} FROM numbered",
+    ),
+    "shipping_days": (_ID + "shipping_days integer", "SELECT * FROM numbered"),
+    "profit_margin_pct": (_ID + "profit_margin_pct double", f"SELECT *, {_LINE_MARGIN} AS profit_margin_pct FROM numbered"),
+    "discounted_revenue": (_ID + "discounted_revenue double", "SELECT *, net_c / 1e2 AS discounted_revenue FROM numbered"),
+    "cogs": (_ID + "cogs double", "SELECT *, cogs_c / 1e2 AS cogs FROM numbered"),
+    "customer_ltv": (_ID + "customer_ltv double", f"SELECT *, {_LTV} AS customer_ltv FROM numbered"),
+    "customer_order_rank": (_ID + "customer_order_rank integer", f"SELECT *, {_RANK} AS customer_order_rank FROM numbered"),
     "is_repeat_customer": (
-        _ID + "is_repeat_customer integer", f"SELECT *, cast({_RANK} > 1 AS integer) AS is_repeat_customer FROM staging"
+        _ID + "is_repeat_customer integer", f"SELECT *, cast({_RANK} > 1 AS integer) AS is_repeat_customer FROM numbered"
     ),
-    "sorted_output": (_ID + "customer_id varchar, order_date date", "SELECT * FROM staging"),
+    "sorted_output": (_ID + "customer_id varchar, order_date date", "SELECT * FROM numbered"),
     "monthly_sales_growth": (
         "order_year integer, order_month integer, monthly_total double, sales_growth_pct double", _GROWTH
     ),
     "attach_monthly_growth": (
         _ID + "sales_growth_pct double",
-        f"SELECT * FROM staging JOIN ({_GROWTH}) ON year(order_date) = order_year AND month(order_date) = order_month",
+        f"SELECT * FROM numbered JOIN ({_GROWTH}) ON year(order_date) = order_year AND month(order_date) = order_month",
     ),
-    "revenue_per_unit": (_ID + "revenue_per_unit double", f"SELECT *, {_PER_UNIT} AS revenue_per_unit FROM staging"),
+    "revenue_per_unit": (_ID + "revenue_per_unit double", f"SELECT *, {_PER_UNIT} AS revenue_per_unit FROM numbered"),
     "is_high_value_order": (
-        _ID + "is_high_value_order integer", f"SELECT *, cast({_HIGH} AS integer) AS is_high_value_order FROM staging"
+        _ID + "is_high_value_order integer", f"SELECT *, cast({_HIGH} AS integer) AS is_high_value_order FROM numbered"
     ),
-    "is_loss_order": (_ID + "is_loss_order integer", "SELECT *, cast(profit_c < 0 AS integer) AS is_loss_order FROM staging"),
+    "is_loss_order": (_ID + "is_loss_order integer", "SELECT *, cast(profit_c < 0 AS integer) AS is_loss_order FROM numbered"),
     "enrich_sales": (
         _ID + "order_year integer, order_month integer, order_quarter integer, order_week integer, order_dow varchar, "
         "shipping_days integer, profit_margin_pct double, discounted_revenue double, cogs double, customer_ltv double, "
@@ -414,7 +418,7 @@ _QUERIES: dict[str, tuple[str, str]] = {
             cogs_c / 1e2 AS cogs, {_PER_UNIT} AS revenue_per_unit, cast({_HIGH} AS integer) AS is_high_value_order,
             cast(profit_c < 0 AS integer) AS is_loss_order
         FROM (SELECT *, {_CALENDAR_PARTS}, {_LTV} AS customer_ltv, {_RANK} AS customer_order_rank,
-                cast({_RANK} > 1 AS integer) AS is_repeat_customer FROM staging) s
+                cast({_RANK} > 1 AS integer) AS is_repeat_customer FROM numbered) s
             JOIN ({_GROWTH}) g USING (order_year, order_month)""",
     ),
     "validate_sales": (
@@ -428,7 +432,7 @@ _QUERIES: dict[str, tuple[str, str]] = {
             {_GROSS_PROFIT} AS total_profit,
             {half_away(f"sum(cast(round({_LINE_MARGIN} * 100) AS bigint))", "100 * count(*)", 2)} AS avg_margin_pct,
             {pct("count(*) - count(DISTINCT c_custkey)", "count(*)")} AS repeat_line_pct
-        FROM staging""",
+        FROM numbered""",
     ),
     "run_etl": (
         _ETL_SUMMARY_TYPES,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .functions.calendar import day_range, warehouse_calendar
+from .functions.calendar import date_key, day_range, warehouse_calendar
 from .operators import business as q
 from .operators import cleaning as c
 from .operators import dashboards as d
@@ -23,13 +23,13 @@ from .plans.etl import run_etl
 from .plans.forecast import run_forecast
 from .plans.load import load_star
 from .schemas import FEATURE_COLUMNS, LINE_COLUMNS
-from .session import shared_path, tune
+from .session import shared_path, stored, tune
 from .sources import files
 from .sources.files import Star
 from .sources.tables import TradeTables
 
 AS_OF = date(2021, 12, 31)  # day that recency counts from
-LOADED_UNTIL = date(2019, 12, 31)  # last order date of the lines that the incremental load already has
+LOADED_UNTIL = 20191231  # key of the last order date that the incremental load already has
 SLICED_YEAR = 2020
 LINE_ID = ["order_id", "row_id"]
 
@@ -70,23 +70,31 @@ def _raw_file(src: TradeTables) -> str:
     return path
 
 
-def _line_feature(step: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
-    """A feature of every staging line, under the line's id."""
-    return lambda src: step(src.staging()).select(*LINE_ID, *columns)
+def _line_feature(step: Callable[[DataFrame], DataFrame], *columns: str, store: bool = False) -> Query:
+    """A feature of every line, under the line's id; ``store`` for steps that read the lines several times."""
+
+    def query(src: TradeTables) -> DataFrame:
+        lines = src.line_items()
+        return step(stored(lines, "lines") if store else lines).select(*LINE_ID, *columns)
+
+    return query
 
 
 def _staged(src: TradeTables) -> DataFrame:
-    """Staging lines as a stored table, for plans that read them several times."""
-    path = shared_path(src.spark, "staging")
-    src.staging().write.parquet(path)
-    return src.spark.read.parquet(path)
+    return stored(src.staging(), "staging")
 
 
-def _built_star(src: TradeTables, staging: DataFrame) -> Star:
-    customers, products = w.dim_customers(staging), w.dim_products(staging)
+def _stored_star(src: TradeTables) -> Star:
+    """The star schema of all lines, built from staging and stored."""
+    path, staging = shared_path(src.spark, "star"), _staged(src)
+    customers = stored(w.dim_customers(staging), "dim_customers")
+    products = stored(w.dim_products(staging), "dim_products")
     dates, modes = warehouse_calendar(day_range(src.spark)), w.dim_ship_mode(src.spark)
     fact = w.lookup_keys(w.derive_fact(staging), customers, products, modes)
-    return Star(fact, customers, products, dates, modes, w.monthly_sales(fact, customers, products, dates))
+    files.write_fact(fact, f"{path}/fact_sales")
+    fact = src.spark.read.parquet(f"{path}/fact_sales")
+    monthly = w.monthly_sales(fact, customers, products, dates)
+    return Star(fact, customers, products, dates, modes, monthly)
 
 
 def _table_sizes(star: Star) -> DataFrame:
@@ -123,7 +131,7 @@ def load_staging(src: TradeTables) -> DataFrame:
 
 def write_star(src: TradeTables) -> DataFrame:
     path = shared_path(src.spark, "star")
-    files.write_star(_built_star(src, _staged(src)), path)
+    files.write_star(_stored_star(src), path)
     fact = files.read_star(src.spark, path).fact
     return fact.groupBy("order_year", "order_month").agg(
         F.count("*").alias("lines"), F.sum("net_sales").alias("net_sales")
@@ -162,8 +170,8 @@ def dim_ship_mode(src: TradeTables) -> DataFrame:
 
 
 def fact_dim_lookup(src: TradeTables) -> DataFrame:
-    """Lines and units that reach the fact table, by the members they found."""
-    star = _built_star(src, _staged(src))
+    """Lines of the fact table under the natural keys that their keys stand for."""
+    star = _stored_star(src)
     return (
         star.fact.join(star.customers.select("customer_sk", "customer_id"), "customer_sk")
         .join(star.products.select("product_sk", "product_id"), "product_sk")
@@ -173,17 +181,14 @@ def fact_dim_lookup(src: TradeTables) -> DataFrame:
 
 
 def fact_incremental(src: TradeTables) -> DataFrame:
-    staging = _staged(src)
-    loaded = w.derive_fact(staging.where(F.col("order_date") <= F.lit(LOADED_UNTIL)))
-    return w.new_lines(w.derive_fact(staging), loaded).select(*LINE_ID, "order_date_sk", "net_sales")
+    batch = w.derive_fact(stored(src.staging(), "staging"))
+    loaded = batch.where(F.col("order_date_sk") <= F.lit(LOADED_UNTIL))
+    return w.new_lines(batch, loaded).select(*LINE_ID, "order_date_sk", "net_sales")
 
 
 def fact_rejects(src: TradeTables) -> DataFrame:
     """Lines that cleaning left without a known ship mode, so that the load drops them."""
     staging = w.typed_staging(c.clean_sales(src.raw_lines()))
-    path = shared_path(src.spark, "staging")
-    staging.write.parquet(path)
-    staging = src.spark.read.parquet(path)
     rejected = w.rejected_lines(
         staging, w.dim_customers(staging), w.dim_products(staging), w.dim_ship_mode(src.spark)
     )
@@ -191,10 +196,9 @@ def fact_rejects(src: TradeTables) -> DataFrame:
 
 
 def load_star_twice(src: TradeTables) -> DataFrame:
-    """Table sizes after loading history, then all lines, then all lines again."""
+    """Table sizes after loading the older lines, then all lines."""
     staging, path = _staged(src), shared_path(src.spark, "star")
-    load_star(src.spark, staging.where(F.col("order_date") <= F.lit(LOADED_UNTIL)), path)
-    load_star(src.spark, staging, path)
+    load_star(src.spark, staging.where(date_key("order_date") <= LOADED_UNTIL), path)
     return _table_sizes(load_star(src.spark, staging, path))
 
 
@@ -290,20 +294,22 @@ QUERIES: dict[str, Query] = {
     "profit_margin_pct": _line_feature(f.profit_margin_pct, "profit_margin_pct"),
     "discounted_revenue": _line_feature(f.discounted_revenue, "discounted_revenue"),
     "cogs": _line_feature(f.cogs, "cogs"),
-    "customer_ltv": _line_feature(f.customer_ltv, "customer_ltv"),
-    "customer_order_rank": _line_feature(f.customer_order_rank, "customer_order_rank"),
+    "customer_ltv": _line_feature(f.customer_ltv, "customer_ltv", store=True),
+    "customer_order_rank": _line_feature(f.customer_order_rank, "customer_order_rank", store=True),
     "is_repeat_customer": _line_feature(
-        lambda df: df.transform(f.customer_order_rank).transform(f.is_repeat_customer), "is_repeat_customer"
+        lambda df: df.transform(f.customer_order_rank).transform(f.is_repeat_customer),
+        "is_repeat_customer",
+        store=True,
     ),
-    "sorted_output": lambda src: f.sorted_output(src.staging()).select(*LINE_ID, "customer_id", "order_date"),
+    "sorted_output": lambda src: f.sorted_output(src.line_items()).select(*LINE_ID, "customer_id", "order_date"),
     "monthly_sales_growth": lambda src: f.monthly_sales_growth(f.date_parts(src.sales_lines(orders=True))),
     "attach_monthly_growth": _line_feature(
-        lambda df: df.transform(f.date_parts).transform(f.attach_monthly_growth), "sales_growth_pct"
+        lambda df: df.transform(f.date_parts).transform(f.attach_monthly_growth), "sales_growth_pct", store=True
     ),
     "revenue_per_unit": _line_feature(f.revenue_per_unit, "revenue_per_unit"),
-    "is_high_value_order": _line_feature(f.is_high_value_order, "is_high_value_order"),
+    "is_high_value_order": _line_feature(f.is_high_value_order, "is_high_value_order", store=True),
     "is_loss_order": _line_feature(f.is_loss_order, "is_loss_order"),
-    "enrich_sales": lambda src: f.enrich_sales(src.staging()).select(*LINE_ID, *FEATURE_COLUMNS),
+    "enrich_sales": _line_feature(f.enrich_sales, *FEATURE_COLUMNS, store=True),
     # quality
     "validate_sales": lambda src: v.validate_sales(_ORDER_LINES(src)),
     "dq_nonneg_sales": lambda src: v.validate_sales(_ORDER_LINES(src), ["nonneg_sales"]),
@@ -311,9 +317,12 @@ QUERIES: dict[str, Query] = {
     "dq_order_date_present": lambda src: v.validate_sales(_ORDER_LINES(src), ["order_date_present"]),
     "dq_customer_id_present": lambda src: v.validate_sales(_ORDER_LINES(src), ["customer_id_present"]),
     "etl_summary": lambda src: v.etl_summary(
-        src.staging().transform(f.profit_margin_pct).transform(f.customer_order_rank).transform(f.is_repeat_customer)
+        stored(src.line_items(), "lines")
+        .transform(f.profit_margin_pct)
+        .transform(f.customer_order_rank)
+        .transform(f.is_repeat_customer)
     ),
-    "dq_constraints": lambda src: v.constraint_report(_built_star(src, _staged(src))),
+    "dq_constraints": lambda src: v.constraint_report(_stored_star(src)),
     "run_etl": lambda src: run_etl(src.spark, _raw_file(src), shared_path(src.spark, "etl")),
     # warehouse
     "dim_date": lambda src: src.warehouse_calendar(),
@@ -349,7 +358,9 @@ QUERIES: dict[str, Query] = {
     # BI measures
     "bi_calendar": lambda src: src.report_calendar(),
     "calendar_join": lambda src: m.calendar_join(
-        src.sales_lines(orders=True).select("order_id", "product_sk", "order_date", "sales", "quantity"),
+        src.sales_lines(orders=True).select(
+            F.col("order_id").cast("string").alias("order_id"), "product_sk", "order_date", "sales", "quantity"
+        ),
         src.report_calendar(),
     ),
     "total_revenue": _measure("total_revenue", "segment"),

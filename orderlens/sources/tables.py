@@ -92,48 +92,58 @@ class TradeTables:
 
     # -- views ----------------------------------------------------------------------------
 
-    def sales_lines(self, orders: bool = False, customers: bool = False, products: bool = False) -> DataFrame:
-        """Typed order lines: line columns, and those of the tables asked for."""
+    def sales_lines(
+        self, orders: bool = False, customers: bool = False, products: bool = False, numbered: bool = False
+    ) -> DataFrame:
+        """Typed order lines: line columns, and those of the tables asked for.
+
+        Customers join the orders, not the lines, so that lines are shuffled once, by order.
+        ``numbered`` adds ``row_id``, the number of the line within its order.
+        """
         lines = self.priced_lines()
+        if numbered:
+            lines = grouped_row_number(lines, ["l_orderkey"], LINE_ORDER, "row_id")
         columns = [
-            F.col("l_orderkey").cast("string").alias("order_id"),
+            F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_sk"),
             "sales", "quantity", "discount", "profit",
+            *(["row_id"] if numbered else []),
         ]
         if orders or customers:
             headers = self.order_headers()
-            columns += [
-                F.col("o_custkey").alias("customer_sk"),
-                F.col("o_custkey").cast("string").alias("customer_id"),
-                "order_date", _ship_date().alias("ship_date"), "ship_mode", "ship_mode_sk",
-            ]
+            columns += ["customer_sk", "customer_id", "order_date", _ship_date().alias("ship_date"), "ship_mode",
+                        "ship_mode_sk"]
+            headers = headers.withColumnsRenamed({"o_custkey": "customer_sk"})
+            if customers:
+                headers = headers.join(self.customers(), "customer_sk")
+                columns += ["customer_name", "segment", "state", "region"]
+            else:
+                headers = headers.withColumn("customer_id", F.col("customer_sk").cast("string"))
             lines = lines.join(headers, F.col("l_orderkey") == F.col("o_orderkey"))
         lines = lines.select(*columns)
-        if customers:
-            lines = lines.join(self.customers().drop("customer_id"), "customer_sk")
         if products:
             lines = lines.join(self.products(), "product_sk")
         return lines
 
-    def staging(self, numbered: bool = True) -> DataFrame:
-        """All 21 columns of a cleaned order line. ``row_id`` numbers the lines of an order."""
-        lines = self.priced_lines()
-        if numbered:
-            lines = grouped_row_number(lines, ["l_orderkey"], LINE_ORDER, "row_id")
-        else:
-            lines = lines.withColumn("row_id", F.lit(None).cast("int"))
+    def staging(self) -> DataFrame:
+        """All 21 columns of a cleaned order line."""
         return (
-            lines.join(self.order_headers(), F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(self.customers(), F.col("o_custkey") == F.col("customer_sk"))
-            .join(self.products(), F.col("l_partkey") == F.col("product_sk"))
-            .withColumn("order_id", F.col("l_orderkey").cast("string"))
-            .withColumn("ship_date", _ship_date())
+            self.sales_lines(customers=True, products=True, numbered=True)
+            .withColumn("order_id", F.col("order_id").cast("string"))
             .withColumn("country", F.lit("United States"))
             .withColumn("city", F.lit(None).cast("string"))
             .withColumn("postal_code", F.lit(None).cast("string"))
             .select(*LINE_COLUMNS)
         )
 
+    def line_items(self) -> DataFrame:
+        """The staging columns that need no customer or product table."""
+        lines = self.sales_lines(orders=True, numbered=True)
+        return lines.select(
+            F.col("order_id").cast("string").alias("order_id"), "row_id", "customer_id", "order_date", "ship_date",
+            "ship_mode", "sales", "quantity", "discount", "profit",
+        )
+
     def raw_lines(self) -> DataFrame:
         """Staging rows as text under raw headers, with defects chosen by key.
 
