@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -96,9 +97,13 @@ def apply_slicers(
     regions: Iterable[str] = (),
     categories: Iterable[str] = (),
 ) -> DataFrame:
-    """Keep the lines that every given slicer selects; an empty slicer selects all."""
-    if years:
-        df = df.where(F.year("order_date").isin(*years))
+    """Keep the lines that every given slicer selects; an empty slicer selects all.
+
+    Years become date ranges, which Parquet can skip row groups by.
+    """
+    spans = [F.col("order_date").between(date(y, 1, 1), date(y, 12, 31)) for y in years]
+    if spans:
+        df = df.where(reduce(Column.__or__, spans))
     if dates:
         df = df.where(F.col("order_date").between(*dates))
     for column, chosen in (("segment", segments), ("region", regions), ("category", categories)):

@@ -189,15 +189,18 @@ def _ship_mode_keys(ship_modes: DataFrame) -> DataFrame:
 
 
 def _with_keys(current: DataFrame, natural_key: str, key: str, existing: DataFrame | None) -> DataFrame:
+    """Add the dimension key and audit times; known members keep their key and time of creation."""
     bucket = F.pmod(F.xxhash64(natural_key), F.lit(KEY_BUCKETS)).cast("int")
     slot = F.row_number().over(Window.partitionBy("_bucket").orderBy(natural_key))
     number = (F.col("_slot") - 1) * F.lit(KEY_BUCKETS).cast("bigint") + F.col("_bucket") + 1
-    columns = [key, *current.columns]
+    columns = [key, *current.columns, "created_at", "updated_at"]
+    now = F.current_timestamp()
+    current = current.withColumn("updated_at", now)
     if existing is None:
         keyed = current.withColumn("_bucket", bucket).withColumn("_slot", slot)
-        return keyed.withColumn(key, number).select(*columns)
+        return keyed.withColumn(key, number).withColumn("created_at", now).select(*columns)
 
-    known = existing.select(natural_key, key)
+    known = existing.select(natural_key, key, "created_at")
     updated = current.join(known, natural_key)
     absent = existing.join(current.select(natural_key), natural_key, "left_anti")
     taken = (  # one row per bucket
@@ -210,6 +213,7 @@ def _with_keys(current: DataFrame, natural_key: str, key: str, existing: DataFra
         .join(F.broadcast(taken), "_bucket", "left")
         .withColumn("_slot", slot + F.coalesce("_taken", F.lit(0)))
         .withColumn(key, number)
+        .withColumn("created_at", now)
     )
     return (
         updated.select(*columns)

@@ -32,6 +32,7 @@ AS_OF = date(2021, 12, 31)  # day that recency counts from
 LOADED_UNTIL = 20191231  # key of the last order date that the incremental load already has
 SLICED_YEAR = 2020
 LINE_ID = ["order_id", "row_id"]
+AUDIT = ["created_at", "updated_at"]
 
 Query = Callable[[TradeTables], DataFrame]
 
@@ -326,8 +327,8 @@ QUERIES: dict[str, Query] = {
     "run_etl": lambda src: run_etl(src.spark, _raw_file(src), shared_path(src.spark, "etl")),
     # warehouse
     "dim_date": lambda src: src.warehouse_calendar(),
-    "dim_customers": lambda src: w.dim_customers(src.staging()).drop("customer_sk"),
-    "dim_products": lambda src: w.dim_products(src.staging()).drop("product_sk"),
+    "dim_customers": lambda src: w.dim_customers(src.staging()).drop("customer_sk", *AUDIT),
+    "dim_products": lambda src: w.dim_products(src.staging()).drop("product_sk", *AUDIT),
     "dim_ship_mode": dim_ship_mode,
     "fact_derive": lambda src: w.derive_fact(src.staging()),
     "fact_dim_lookup": fact_dim_lookup,

@@ -137,6 +137,8 @@ def test_features_of_odd_lines(spark):
     assert [enriched[i].sales_growth_pct for i in (1, 3, 4, 5)] == [0.0, 200.0, -100.0, 0.0]
     assert [enriched[i].is_high_value_order for i in range(1, 6)] == [0, 0, 1, 0, 0]
     assert [enriched[i].is_loss_order for i in range(1, 6)] == [1, 0, 0, 0, 0]
+    approximate = f.is_high_value_order(lines, approximate=True)
+    assert rows(approximate.where("is_high_value_order = 1").select("row_id")) == [(3,)]
     assert enriched[3].shipping_days == 0 and enriched[3].order_dow == "Sunday"
 
 
