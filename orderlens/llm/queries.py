@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, sharding
+from . import bpe, chat, licenses, sharding
 from .common import table
 
+BPE_FILE = "word_bpe_49k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -20,9 +23,17 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
+
+
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op4_chat_formatting, op8_sharding)
+    for query in (op4_chat_formatting, op8_sharding, op9_bpe, op10_license_scans)
 }
 
 ORACLE_SQL: dict[str, str] = {"op4_chat_formatting": chat.ORACLE}
