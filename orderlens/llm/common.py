@@ -122,12 +122,12 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
-def grams(hashes: np.ndarray, k: int) -> np.ndarray:
-    """Hashes of ``k`` consecutive words, by start; shorter by k - 1 than the words."""
+def grams(hashes: np.ndarray, k: int, starts: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of ``k`` consecutive words, at every start that has k words from it on or at ``starts`` only."""
     n = len(hashes) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out = np.full(n, np.uint64(k))
+    out = np.zeros(n if starts is None else len(starts), np.uint64)
     for i in range(k):
-        out = mix(out * _STEP + hashes[i : i + n])
-    return out
+        out = out * _STEP + (hashes[i : i + n] if starts is None else hashes[starts + i])
+    return mix(out + np.uint64(k))

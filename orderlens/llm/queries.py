@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, licenses, sharding
+from . import bpe, chat, decontamination, licenses, sharding
 from .common import table
 
 BPE_FILE = "word_bpe_49k.json"
@@ -19,6 +19,10 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.with_probe(table(spark, sf_dir, "conversations")))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -33,7 +37,7 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op4_chat_formatting, op8_sharding, op9_bpe, op10_license_scans)
+    for query in (op4_chat_formatting, op5_benchmark_decontamination, op8_sharding, op9_bpe, op10_license_scans)
 }
 
 ORACLE_SQL: dict[str, str] = {"op4_chat_formatting": chat.ORACLE}
