@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, licenses, sharding
+from . import bpe, chat, decontamination, language, licenses, sharding, topk
 from .common import table
 
 BPE_FILE = "word_bpe_49k.json"
@@ -15,6 +16,10 @@ BPE_FILE = "word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.with_probe(table(spark, sf_dir, "conversations")))
 
@@ -23,6 +28,11 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict_languages(docs, language.fit(docs))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -37,7 +47,7 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op4_chat_formatting, op5_benchmark_decontamination, op8_sharding, op9_bpe, op10_license_scans)
+    for query in (op2_exact_topk, op4_chat_formatting, op5_benchmark_decontamination, op6_language_id, op8_sharding, op9_bpe, op10_license_scans)
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_chat_formatting": chat.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op2_exact_topk": topk.ORACLE, "op4_chat_formatting": chat.ORACLE}
