@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, language, licenses, sharding, topk
+from . import bpe, chat, decontamination, language, licenses, sharding, topk, urls
 from .common import table
 
 BPE_FILE = "word_bpe_49k.json"
@@ -16,6 +16,10 @@ BPE_FILE = "word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
@@ -47,7 +51,7 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op2_exact_topk, op4_chat_formatting, op5_benchmark_decontamination, op6_language_id, op8_sharding, op9_bpe, op10_license_scans)
+    for query in (op1_url_filters, op2_exact_topk, op4_chat_formatting, op5_benchmark_decontamination, op6_language_id, op8_sharding, op9_bpe, op10_license_scans)
 }
 
 ORACLE_SQL: dict[str, str] = {"op2_exact_topk": topk.ORACLE, "op4_chat_formatting": chat.ORACLE}
