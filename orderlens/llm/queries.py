@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, language, licenses, sharding, topk, urls
+from . import bpe, chat, decontamination, jaccard, language, licenses, sharding, topk, urls
 from .common import table
 
 BPE_FILE = "word_bpe_49k.json"
@@ -37,6 +37,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_languages(docs, language.fit(docs))
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -51,7 +55,7 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op1_url_filters, op2_exact_topk, op4_chat_formatting, op5_benchmark_decontamination, op6_language_id, op8_sharding, op9_bpe, op10_license_scans)
+    for query in (op1_url_filters, op2_exact_topk, op4_chat_formatting, op5_benchmark_decontamination, op6_language_id, op7_ngram_jaccard_join, op8_sharding, op9_bpe, op10_license_scans)
 }
 
 ORACLE_SQL: dict[str, str] = {"op2_exact_topk": topk.ORACLE, "op4_chat_formatting": chat.ORACLE}
