@@ -216,6 +216,10 @@ class TrieEncoder:
         """Ids of prepared words as little-endian 32-bit integers."""
         return b"".join(map(self.known.__getitem__, pieces))
 
+    def decoded(self, pieces: list[str]) -> str:
+        """What ``decode`` makes of the ids of prepared words."""
+        return " ".join(map(self.shown.__getitem__, pieces))
+
 
 def decode(vocab: Vocabulary, ids: Iterable[int]) -> str:
     """The text that ids stand for in a vocabulary without a decoder: its tokens with spaces between."""
@@ -233,16 +237,15 @@ def encoder_function(path: str, digests: bool):
                 lists = [encoder.vocab.pieces(t.as_py() or "") for t in part.column(1)]
                 encoder.prepare(lists)
                 ids = [encoder.encode(pieces) for pieces in lists]
-                shown = [" ".join(map(encoder.shown.__getitem__, pieces)) for pieces in lists]
                 sizes = pa.array([len(i) // 4 for i in ids], pa.int64())
                 if digests:
                     columns = [
                         sizes, pa.array([hashlib.sha256(i).hexdigest() for i in ids]),
-                        pa.array([hashlib.sha256(s.encode()).hexdigest() for s in shown]),
+                        pa.array([hashlib.sha256(encoder.decoded(pieces).encode()).hexdigest() for pieces in lists]),
                     ]
                     names = ["n_tokens", "ids_sha256", "decoded_sha256"]
                 else:
-                    columns = [sizes, pa.array([np.frombuffer(i, "<u4").astype(np.int32) for i in ids], pa.list_(pa.int32())), pa.array(shown, pa.string())]
+                    columns = [sizes, pa.array([np.frombuffer(i, "<u4").astype(np.int32) for i in ids], pa.list_(pa.int32())), pa.array([encoder.decoded(pieces) for pieces in lists], pa.string())]
                     names = ["n_tokens", "ids", "decoded"]
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=["doc_id", *names])
 

@@ -253,3 +253,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "doc_id", "n_words", hit.alias("n_hit"), F.size("item_ids").cast("bigint").alias("n_items"),
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
     )
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that share no window with the benchmark."""
+    hit = contaminated_spans(docs, benchmark).filter(F.size("spans") > 0).select("doc_id", "text_key").distinct()
+    same = F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (
+        F.xxhash64(F.coalesce(F.col("d.text"), F.lit(""))) == F.col("h.text_key")
+    )
+    return docs.alias("d").join(hit.alias("h"), same, "left_anti")

@@ -285,7 +285,7 @@ def linked(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
 
 
 def jaccard_classes(docs: DataFrame) -> DataFrame:
-    """doc_id, row_key, n_shingles, component_id of every row of ``docs`` (doc_id, text).
+    """doc_id, row_key, n_shingles, component_id and component (null: empty set) of every row of ``docs`` (doc_id, text).
 
     Runs jobs when called; sets, lists, pairs and components are tables in the shared folder.
     """
@@ -321,7 +321,26 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
         labels.select("component").distinct().join(named, "component")
         .groupBy("component").agg(F.min("least").alias("component_id"))
     )
-    named = named.join(classes, "component", "left").select("node", F.coalesce("component_id", "least").alias("component_id"))
-    some = sets.filter("node is not null").join(named, "node").select("doc_id", "row_key", F.col("n").alias("n_shingles"), "component_id")
-    empty = sets.filter("node is null").select("doc_id", "row_key", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return some.unionByName(empty)
+    named = named.join(classes, "component", "left").select(
+        "node", "component", F.coalesce("component_id", "least").alias("component_id")
+    )
+    columns = ["doc_id", "row_key", F.col("n").alias("n_shingles"), "component_id", "component"]
+    some = sets.filter("node is not null").join(named, "node").select(*columns)
+    empty = sets.filter("node is null").withColumns(
+        {"component_id": F.col("doc_id"), "component": F.lit(None).cast("bigint")}
+    )
+    return some.unionByName(empty.select(*columns))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, with one row of each class: its smallest doc_id, nulls last.
+
+    Texts without words are no copies of each other and all stay.
+    """
+    classes = jaccard_classes(docs).filter("component is not null")
+    first = classes.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first"))
+    key = "row key of one_of_each"
+    kept = docs.withColumn(key, row_key("doc_id", "text")).join(first.select(F.col("first.row_key").alias(key)), key, "left_semi")
+    wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    worded = kept.filter(~wordless).dropDuplicates([key]).drop(key)
+    return worded.unionByName(docs.filter(wordless))

@@ -200,6 +200,19 @@ def _with_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return found
 
 
+def _predict(model: Predictor | None, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Language number (-1: undetermined) and score of every row of a slice."""
+    n = len(offsets) - 1
+    if not model or not len(data):
+        return np.full(n, -1), np.zeros(n)
+    windows, row, length = windows_of(data, offsets)
+    total = np.zeros((n, len(model.net.languages)))
+    np.add.at(total, row, model.probabilities(windows).astype(np.float64) * length[:, None])
+    mean = total / np.maximum(np.diff(offsets), 1)[:, None]
+    known = _with_letter(data, offsets)
+    return np.where(known, mean.argmax(1), -1), np.where(known, np.clip(mean.max(1), 0, 1), 0)
+
+
 def predict_languages(docs: DataFrame, net: Network | None) -> DataFrame:
     """doc_id, held_out, lang_pred and score (mean probability of that language) of every row of ``docs`` (doc_id, text)."""
     shared = docs.sparkSession.sparkContext.broadcast(net)  # some thousand weights
@@ -208,17 +221,7 @@ def predict_languages(docs: DataFrame, net: Network | None) -> DataFrame:
         model = Predictor(shared.value) if shared.value else None
         names = np.array([*(shared.value.languages if model else []), UNDETERMINED], object)
         for rows, data, offsets in text_slices(batches, "text"):
-            n = len(offsets) - 1
-            best, score = np.full(n, len(names) - 1), np.zeros(n)
-            if model and len(data):
-                windows, row, length = windows_of(data, offsets)
-                weighted = model.probabilities(windows).astype(np.float64) * length[:, None]
-                total = np.zeros((n, len(names) - 1))
-                np.add.at(total, row, weighted)
-                known = _with_letter(data, offsets)
-                mean = total / np.maximum(np.diff(offsets), 1)[:, None]
-                best = np.where(known, mean.argmax(1), best)
-                score = np.where(known, np.clip(mean.max(1), 0, 1), 0)
+            best, score = _predict(model, data, offsets)
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0), rows.column(1), pa.array(names[best], pa.string()), pa.array(score)],
                 names=["doc_id", "held_out", "lang_pred", "score"],
@@ -227,3 +230,16 @@ def predict_languages(docs: DataFrame, net: Network | None) -> DataFrame:
     return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text").mapInArrow(
         predict, "doc_id bigint, held_out boolean, lang_pred string, score double"
     )
+
+
+def keep_determined(docs: DataFrame, net: Network | None, min_score: float) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is determined with ``min_score`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(net)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Predictor(shared.value) if shared.value else None
+        for rows, data, offsets in text_slices(batches, "text"):
+            best, score = _predict(model, data, offsets)
+            yield rows.filter(pa.array((best >= 0) & (score >= min_score)))
+
+    return docs.mapInArrow(keep, docs.schema)

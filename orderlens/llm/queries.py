@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, jaccard, language, licenses, sharding, topk, urls
+from . import bpe, chat, decontamination, jaccard, language, licenses, lm, sharding, topk, urls
 from .common import table
 
 BPE_FILE = "word_bpe_49k.json"
@@ -24,6 +24,10 @@ def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.with_probe(table(spark, sf_dir, "conversations")))
 
@@ -55,7 +59,7 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op1_url_filters, op2_exact_topk, op4_chat_formatting, op5_benchmark_decontamination, op6_language_id, op7_ngram_jaccard_join, op8_sharding, op9_bpe, op10_license_scans)
+    for query in (op1_url_filters, op2_exact_topk, op3_lm_scoring, op4_chat_formatting, op5_benchmark_decontamination, op6_language_id, op7_ngram_jaccard_join, op8_sharding, op9_bpe, op10_license_scans)
 }
 
 ORACLE_SQL: dict[str, str] = {"op2_exact_topk": topk.ORACLE, "op4_chat_formatting": chat.ORACLE}
