@@ -208,15 +208,22 @@ def _allowed(rows: pa.Table, keys: int) -> Iterator[tuple[np.ndarray, np.ndarray
 
 
 def first_pairs(lists: DataFrame) -> DataFrame:
-    """(a, b): each set of a tile with the smallest one that the bounds allow."""
+    """(a, b): each set of a tile with the smallest one that the bounds allow, or else the next one.
+
+    Every set that the bounds allow any partner in its tile is in a pair.
+    """
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _whole_lists(batches, 2):
-            best = np.arange(rows.num_rows)
+            own = np.arange(rows.num_rows)
+            best, after = own.copy(), np.full(len(own), len(own))
             for i, j in _allowed(rows, 2):
                 np.minimum.at(best, j, i)
-            node, j = rows["node"].to_numpy(), np.flatnonzero(best < np.arange(rows.num_rows))
-            pair = np.unique(np.sort(np.stack([node[best[j]], node[j]]), axis=0), axis=1) if len(j) else np.zeros((2, 0), np.int64)
+                np.minimum.at(after, i, j)
+            root = (best == own) & (after < len(own))  # pairs with the next one, lest it be in no pair
+            i, j = np.concatenate([best[best < own], own[root]]), np.concatenate([own[best < own], after[root]])
+            node = rows["node"].to_numpy()
+            pair = np.unique(np.sort(np.stack([node[i], node[j]]), axis=0), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
 
     tiles = lists.select(
@@ -308,9 +315,17 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     arrays = stored(set_arrays(docs, wanted).dropDuplicates(["node"]), "arrays")
     links = stored(linked(first, arrays), "links")
     labels = connected_components(links)
-    known = lists.join(ends, "node", "left_semi").join(labels.withColumnRenamed("component", "joined"), "node", "left")
-    known = known.withColumn("component", F.coalesce("joined", "node")).drop("joined")
+    known = (
+        lists.join(ends.withColumn("paired", F.lit(True)), "node", "left")
+        .filter(F.col("paired") | (F.col("length") > TILE))  # in a single tile, a set without a pair has no partner
+        .join(labels.withColumnRenamed("component", "joined"), "node", "left")
+        .withColumn("component", F.coalesce("joined", "node"))
+    )
     crossing = stored(crossing_pairs(known).join(first, ["a", "b"], "left_anti"), "crossing")
+    new = crossing.select(F.col("a").alias("node")).union(crossing.select("b")).distinct().join(ends, "node", "left_anti")
+    if new.limit(1).count():
+        wanted = nodes.select("node", "row_key").join(new, "node")
+        arrays = arrays.unionByName(stored(set_arrays(docs, wanted).dropDuplicates(["node"]), "new_arrays"))
     more = stored(linked(crossing, arrays), "more")
     if more.limit(1).count():
         labels = connected_components(links.unionByName(more))
