@@ -22,6 +22,20 @@ def date_of_key(key: str | Column) -> Column:
     return F.to_date(F.col(key).cast("string") if isinstance(key, str) else key.cast("string"), "yyyyMMdd")
 
 
+def calendar_columns(key: str, *names: str) -> list[Column]:
+    """Columns of the warehouse calendar for a YYYYMMDD key, whether or not a calendar holds the day."""
+    day, number = date_of_key(key), F.col(key)
+    month = F.floor(number / 100).cast("int") % 100
+    made = {
+        "full_date": day,
+        "year": F.floor(number / 10000).cast("int"),
+        "quarter": F.ceil(month / 3).cast("int"),
+        "month_num": month,
+        "month_name": F.date_format(day, "MMMM"),
+    }
+    return [made[name].alias(name) for name in names]
+
+
 def day_range(spark: SparkSession, start: date = CALENDAR_START, end: date = CALENDAR_END) -> DataFrame:
     """One row per day from ``start`` to ``end``, both included."""
     days = (end - start).days + 1
@@ -36,6 +50,12 @@ def days_covering(dates: DataFrame, column: str) -> DataFrame:
     return span.where("first IS NOT NULL").select(F.explode(F.sequence(first_day, last_day)).alias("full_date"))
 
 
+def widened(days: DataFrame, dates: DataFrame, *columns: str) -> DataFrame:
+    """``days`` and every day of the years that the columns of ``dates`` touch."""
+    found = dates.select(F.explode(F.array(*columns)).alias("full_date"))
+    return days.unionByName(days_covering(found, "full_date")).distinct()
+
+
 def warehouse_calendar(days: DataFrame) -> DataFrame:
     """dim_date: ISO weekday and week, unpadded names, fiscal year equal to the calendar year."""
     day = F.col("full_date")

@@ -58,49 +58,31 @@ def global_ntile(df: DataFrame, tiles: int, order_by: list[Column], out: str) ->
 
 
 def grouped_row_number(
-    df: DataFrame,
-    keys: list[str],
-    order_by: list[str],
-    out: str,
-    hot_rows: int = 20_000_000,
-    sample: float = 0.01,
+    df: DataFrame, keys: list[str], order_by: list[str], out: str, spread_by: str | None = None
 ) -> DataFrame:
-    """``row_number()`` per key, exact for keys of any size.
+    """``row_number()`` per key.
 
-    A window puts each key into one task. Keys above ``hot_rows`` rows, as estimated from a
-    sample, are numbered over a range partitioning of (key, order) instead. The sample only
-    chooses the path; both give the same numbers.
+    Without ``spread_by`` each key is a window of one task: for keys of few rows. ``spread_by``, the first column of
+    ``order_by``, splits a key's rows by its values: rows are counted per key and value before they are shuffled, the
+    counts summed up in order, and rows numbered within their value. A key then needs as many rows in one task as
+    share one value, whatever the number of its rows.
     """
-    hot = (
-        df.select(*keys)
-        .sample(sample, seed=17)
-        .groupBy(*keys)
-        .count()
-        .where(F.col("count") > hot_rows * sample)
-        .drop("count")
+    if spread_by is None:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by)))
+    if order_by[0] != spread_by:
+        raise ValueError("spread_by must be the first column of order_by")
+    cell = [*keys, spread_by]
+    earlier = Window.partitionBy(*keys).orderBy(spread_by).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = (
+        df.groupBy(*cell)
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .select(*[F.col(c).alias(f"_cell_{c}") for c in cell], "_before")
     )
-    schema = hot.schema
-    hot = hot.collect()  # at most (rows of df / hot_rows) keys
-    window = Window.partitionBy(*keys).orderBy(*order_by)
-    if not hot:
-        return df.withColumn(out, F.row_number().over(window))
-
-    hot_keys = df.sparkSession.createDataFrame(hot, schema)
-    same_key = _same(df, hot_keys, keys)
-    cold_rows = df.join(F.broadcast(hot_keys), same_key, "left_anti").withColumn(out, F.row_number().over(window))
-    ordered = global_row_number(
-        df.join(F.broadcast(hot_keys), same_key, "left_semi"),
-        [F.col(c) for c in [*keys, *order_by]],
-        "_rn",
-    )
-    first = ordered.groupBy(*keys).agg(F.min("_rn").alias("_first")).withColumnsRenamed({k: f"_key_{k}" for k in keys})
-    matches = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
-    hot_numbered = (
-        ordered.join(F.broadcast(first), matches)
-        .withColumn(out, (F.col("_rn") - F.col("_first") + 1).cast("int"))
-        .select(*df.columns, out)
-    )
-    return cold_rows.unionByName(hot_numbered)
+    matches = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_cell_{c}")) for c in cell])
+    within = F.row_number().over(Window.partitionBy(*cell).orderBy(*order_by))
+    number = (F.col("_before") + within).cast("int")
+    return df.join(sizes, matches).select(*df.columns, number.alias(out))
 
 
 def exact_percentiles(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> DataFrame:
@@ -152,7 +134,3 @@ def exact_percentiles(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> Da
     between = low * (1 - F.first("_fraction")) + high * F.first("_fraction")
     found = inside.groupBy("_name").agg(F.when(low == high, low).otherwise(between).alias("_answer"))
     return found.agg(*[F.max(F.when(F.col("_name") == name, F.col("_answer"))).alias(name) for name in wanted])
-
-
-def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(Column.__and__, [left[k].eqNullSafe(right[k]) for k in keys])

@@ -11,9 +11,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.calendar import date_of_key
+from ..functions.calendar import calendar_columns, date_of_key
 from ..functions.labels import clv_tier, discount_band, rfm_segment
-from ..functions.money import amount, growth, mean, percent, ratio, total
+from ..functions.money import TOTAL, amount, growth, line_total, mean, percent, ratio, total
 from ..functions.ranking import global_ntile
 from ..sources.files import Star
 
@@ -21,8 +21,7 @@ PRODUCT = ["product_name", "category", "sub_category"]
 
 
 def _with_dates(star: Star, *columns: str) -> DataFrame:
-    dates = star.dates.select("date_sk", *columns)
-    return star.fact.join(dates, F.col("order_date_sk") == F.col("date_sk"))
+    return star.fact.select("*", *calendar_columns("order_date_sk", *columns))
 
 
 def _with_products(star: Star, lines: DataFrame) -> DataFrame:
@@ -32,12 +31,12 @@ def _with_products(star: Star, lines: DataFrame) -> DataFrame:
 def _order_totals(star: Star) -> DataFrame:
     """Revenue and profit per customer and order."""
     return star.fact.groupBy("customer_sk", "order_id").agg(
-        total("net_sales").alias("net_sales"), total("profit").alias("profit")
+        line_total("net_sales").alias("net_sales"), line_total("profit").alias("profit")
     )
 
 
 def _money() -> list[Column]:
-    return [amount(total("net_sales")).alias("net_revenue"), amount(total("profit")).alias("total_profit")]
+    return [amount(line_total("net_sales")).alias("net_revenue"), amount(line_total("profit")).alias("total_profit")]
 
 
 def monthly_trend(star: Star) -> DataFrame:
@@ -58,8 +57,8 @@ def monthly_trend(star: Star) -> DataFrame:
 def top_products(star: Star, n: int = 10) -> DataFrame:
     """The ``n`` product names with the highest revenue; equal revenue goes by name."""
     per_product = star.fact.groupBy("product_sk").agg(
-        total("net_sales").alias("net_sales"),
-        total("profit").alias("profit"),
+        line_total("net_sales").alias("net_sales"),
+        line_total("profit").alias("profit"),
         F.sum("profit_margin_pct").alias("margins"),
         F.count("profit_margin_pct").alias("lines"),
         F.sum("quantity").alias("quantity"),
@@ -87,8 +86,8 @@ def region_performance(star: Star) -> DataFrame:
         .agg(
             F.count_distinct("order_id").alias("orders"),
             F.count_distinct("customer_sk").alias("unique_customers"),
-            total("net_sales").alias("_net"),
-            total("profit").alias("_profit"),
+            line_total("net_sales").alias("_net"),
+            line_total("profit").alias("_profit"),
         )
         .select(
             "region",
@@ -110,9 +109,9 @@ def category_margin(star: Star) -> DataFrame:
         .groupBy("category", "sub_category")
         .agg(
             *_money(),
-            amount(total("cogs")).alias("total_cogs"),
+            amount(line_total("cogs")).alias("total_cogs"),
             mean("profit_margin_pct").alias("avg_margin_pct"),
-            percent(total("profit"), total("net_sales")).alias("blended_margin_pct"),
+            percent(line_total("profit"), line_total("net_sales")).alias("blended_margin_pct"),
             F.count_distinct("order_id").alias("order_count"),
         )
         .orderBy("category", F.desc("blended_margin_pct"), "sub_category")
@@ -142,7 +141,7 @@ def repeat_rate(star: Star) -> DataFrame:
 def yoy_growth(star: Star) -> DataFrame:
     """Revenue and profit per year with the change on the year before."""
     yearly = (
-        _with_dates(star, "year").groupBy("year").agg(total("net_sales").alias("_net"), total("profit").alias("_profit"))
+        _with_dates(star, "year").groupBy("year").agg(line_total("net_sales").alias("_net"), line_total("profit").alias("_profit"))
     )
     by_year = Window.orderBy("year")  # a handful of rows
     return (
@@ -192,7 +191,7 @@ def rfm_customers(star: Star, as_of: date, scoring: str = "as_written") -> DataF
         .agg(
             F.max("order_date_sk").alias("_last"),
             F.count_distinct("order_id").alias("frequency"),
-            total("net_sales").alias("monetary"),
+            line_total("net_sales").alias("monetary"),
         )
         .join(star.customers, "customer_sk")
         .withColumn("last_order_date", date_of_key("_last"))
@@ -283,7 +282,7 @@ def state_heatmap(star: Star) -> DataFrame:
             F.count_distinct("customer_sk").alias("customers"),
             F.count_distinct("order_id").alias("orders"),
             *_money(),
-            percent(total("profit"), total("net_sales")).alias("margin_pct"),
+            percent(line_total("profit"), line_total("net_sales")).alias("margin_pct"),
         )
         .orderBy(F.desc("net_revenue"), "state")
     )
@@ -294,7 +293,7 @@ def clv_tiers(star: Star, **tiers) -> DataFrame:
     value = F.col("lifetime_value")
     return (
         star.fact.groupBy("customer_sk")
-        .agg(total("net_sales").alias("lifetime_value"))
+        .agg(line_total("net_sales").alias("lifetime_value"))
         .join(star.customers.select("customer_sk", "segment"), "customer_sk")
         .groupBy(clv_tier(value, **tiers).alias("clv_tier"), "segment")
         .agg(
@@ -312,9 +311,11 @@ def qoq_growth(star: Star) -> DataFrame:
     """Revenue per quarter and category with the change on the category's previous quarter that has any."""
     quarters = (
         _with_dates(star, "year", "quarter")
+        .groupBy("year", "quarter", "product_sk")
+        .agg(line_total("net_sales").alias("_net"))
         .join(star.products.select("product_sk", "category"), "product_sk")
         .groupBy("year", "quarter", "category")
-        .agg(total("net_sales").alias("_net"))
+        .agg(F.sum("_net").cast(TOTAL).alias("_net"))
     )
     previous = F.lag("_net").over(Window.partitionBy("category").orderBy("year", "quarter"))
     return (
@@ -337,7 +338,7 @@ def rolling_daily(star: Star, days: int = 7, frame: str = "rows") -> DataFrame:
     The trailing frame counts days with sales (``rows``) or calendar days (``calendar``).
     """
     daily = _with_dates(star, "full_date").groupBy("full_date").agg(
-        total("net_sales").alias("_net"), total("profit").alias("_profit")
+        line_total("net_sales").alias("_net"), line_total("profit").alias("_profit")
     )
     if frame == "rows":  # one row per calendar day, so a few thousand at most
         trailing = Window.orderBy("full_date").rowsBetween(1 - days, 0)
@@ -360,7 +361,7 @@ def rolling_daily(star: Star, days: int = 7, frame: str = "rows") -> DataFrame:
 def kpi_snapshot(star: Star) -> DataFrame:
     """One row of headline figures."""
     orders = star.fact.groupBy("customer_sk", "order_id").agg(
-        total("net_sales").alias("net_sales"), total("profit").alias("profit"), F.sum("quantity").alias("quantity")
+        line_total("net_sales").alias("net_sales"), line_total("profit").alias("profit"), F.sum("quantity").alias("quantity")
     )
     return orders.agg(
         total("net_sales").alias("_net"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import CALENDAR_END, CALENDAR_START
-from ..functions.money import amount, percent, ratio, total
+from ..functions.money import amount, line_total, percent, ratio, total
 from .forecasting import HORIZON_MONTHS, forecast_horizon, monthly_series
 from .measures import measure_table
 
@@ -17,24 +17,29 @@ from .measures import measure_table
 REVIEW_DISCOUNT = 0.2
 
 
-def kpi_cards(df: DataFrame, year: int | None = None, start: date = CALENDAR_START,
-              end: date = CALENDAR_END) -> DataFrame:
+def kpi_cards(df: DataFrame, year: int | None = None, start: date | None = None,
+              end: date | None = None) -> DataFrame:
     """One row: revenue, profit, margin, orders, and growth on the same dates a year earlier.
 
-    The period is ``year``, or else the whole calendar from ``start`` to ``end``, whose dates a
-    year earlier are those of the calendar that end one year before it does.
+    The period is ``year``, or else everything from ``start`` to ``end``, by default the standard calendar widened to
+    the years of the data; its dates a year earlier are those that end one year before it does. Without ``year`` and a
+    full range, the first and last order date are read when called.
     """
     if year:
         start, end = date(year, 1, 1), date(year, 12, 31)
         before = (date(year - 1, 1, 1), date(year - 1, 12, 31))
     else:
-        before = (start, end.replace(year=end.year - 1))
+        if not (start and end):
+            first, last = df.agg(F.min("order_date"), F.max("order_date")).first()
+            start = start or min(CALENDAR_START, date(first.year, 1, 1) if first else CALENDAR_START)
+            end = end or max(CALENDAR_END, date(last.year, 12, 31) if last else CALENDAR_END)
+        before = (start, _year_earlier(end))
     current = F.col("order_date").between(start, end)
     per_order = (
         df.withColumn("_current", current)
         .where(F.col("_current") | F.col("order_date").between(*before))
         .groupBy("order_id", "_current", F.col("order_date").between(*before).alias("_before"))
-        .agg(total("sales").alias("_sales"), total("profit").alias("_profit"))
+        .agg(line_total("sales").alias("_sales"), line_total("profit").alias("_profit"))
     )
     figures = per_order.agg(
         total(F.when(F.col("_current"), F.col("_sales"))).alias("_sales"),
@@ -45,16 +50,21 @@ def kpi_cards(df: DataFrame, year: int | None = None, start: date = CALENDAR_STA
     return figures.select(
         amount("_sales").alias("total_revenue"),
         amount("_profit").alias("total_profit"),
-        percent("_profit", "_sales").alias("profit_margin"),
+        F.coalesce(percent("_profit", "_sales"), F.lit(0.0)).alias("profit_margin"),
         "total_orders",
         percent(F.col("_sales") - F.col("_ly"), F.abs("_ly")).alias("yoy_growth_pct"),
     )
 
 
+def _year_earlier(day: date) -> date:
+    """The same day of the year before, 28 February for a leap day."""
+    return date(day.year - 1, day.month, 28 if (day.month, day.day) == (2, 29) else day.day)
+
+
 def trend_line(df: DataFrame) -> DataFrame:
     """Revenue and profit per month, with the average month's revenue."""
     monthly = df.groupBy(F.date_format("order_date", "yyyy-MM").alias("year_month")).agg(
-        total("sales").alias("_sales"), total("profit").alias("_profit")
+        line_total("sales").alias("_sales"), line_total("profit").alias("_profit")
     )
     all_months = Window.partitionBy()  # one row per month
     return monthly.select(
@@ -121,7 +131,7 @@ def discount_profit_scatter(df: DataFrame, keys: Iterable[str] = ("sub_category"
     keys = list(keys)
     return df.groupBy(*keys).agg(
         ratio(F.sum("discount"), F.count("discount"), 4).alias("avg_discount"),
-        amount(total("profit")).alias("total_profit"),
+        amount(line_total("profit")).alias("total_profit"),
     )
 
 
@@ -134,9 +144,9 @@ def pricing_review(df: DataFrame, keys: Iterable[str] = ("product_name",), disco
 
 def category_share(df: DataFrame) -> DataFrame:
     """Revenue per category and its share of the total."""
-    categories = df.groupBy("category").agg(total("sales").alias("_sales"))
-    everything = F.sum("_sales").over(Window.partitionBy()).cast("decimal(20,2)")  # one row per category
-    return categories.withColumn("_all", everything).select(
+    categories = df.groupBy("category").agg(line_total("sales").alias("_sales"))
+    everything = df.agg(line_total("sales").alias("_all"))  # one row
+    return categories.withColumn("_all", everything.scalar()).select(
         "category", amount("_sales").alias("total_revenue"), percent("_sales", "_all").alias("share_pct")
     )
 
@@ -148,8 +158,8 @@ def loss_makers(df: DataFrame) -> DataFrame:
         df.groupBy(*keys)
         .agg(
             F.count_distinct("order_id").alias("total_orders"),
-            amount(total("sales")).alias("total_revenue"),
-            amount(total("profit")).alias("total_profit"),
+            amount(line_total("sales")).alias("total_revenue"),
+            amount(line_total("profit")).alias("total_profit"),
             ratio(F.sum("discount"), F.count("discount"), 4).alias("avg_discount"),
         )
         .where("total_profit < 0")
@@ -161,14 +171,14 @@ def seasonal_heatmap(df: DataFrame) -> DataFrame:
     """Revenue by year (rows) and month (columns m01 to m12)."""
     months = range(1, 13)
     cells = df.groupBy(F.year("order_date").alias("year")).pivot("month_num", list(months))
-    return cells.agg(amount(total("sales"))).withColumnsRenamed({str(m): f"m{m:02d}" for m in months})
+    return cells.agg(amount(line_total("sales"))).withColumnsRenamed({str(m): f"m{m:02d}" for m in months})
 
 
 def profit_waterfall(df: DataFrame) -> DataFrame:
     """Profit per month name and category, years merged, and its change on the month before."""
     cells = df.groupBy(
         F.month("order_date").alias("month_num"), F.date_format("order_date", "MMM").alias("month_name"), "category"
-    ).agg(total("profit").alias("_profit"))
+    ).agg(line_total("profit").alias("_profit"))
     before = F.lag("_profit").over(Window.partitionBy("category").orderBy("month_num"))
     return cells.select(
         "month_num",
@@ -210,9 +220,9 @@ def actuals_plus_forecast(series: DataFrame, table: DataFrame) -> DataFrame:
 def profit_decomposition(df: DataFrame, path: Iterable[str] = ("region", "segment", "category")) -> DataFrame:
     """Profit along a drill-down path with subtotals; ``level`` is 0 for the finest rows."""
     path = list(path)
-    cells = df.groupBy(*path).agg(total("profit").alias("_profit"))
+    cells = df.groupBy(*path).agg(line_total("profit").alias("_profit"))
     return cells.rollup(*path).agg(amount(total("_profit")).alias("total_profit"), F.grouping_id().alias("level"))
 
 
 def _per_product(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(total("sales").alias("_sales"), total("profit").alias("_profit"))
+    return df.groupBy(*keys).agg(line_total("sales").alias("_sales"), line_total("profit").alias("_profit"))

@@ -66,10 +66,13 @@ def customer_ltv(df: DataFrame) -> DataFrame:
     return df.join(totals, "customer_id", "left").select(*df.columns, "customer_ltv")
 
 
-def customer_order_rank(df: DataFrame, hot_rows: int = 20_000_000, sample: float = 0.01) -> DataFrame:
-    """Number of the line among its customer's, by order date, then order and row."""
+def customer_order_rank(df: DataFrame) -> DataFrame:
+    """Number of the line among its customer's, by order date, then order and row.
+
+    A customer's lines are spread by day.
+    """
     return grouped_row_number(
-        df, ["customer_id"], ["order_date", "order_id", "row_id"], "customer_order_rank", hot_rows, sample
+        df, ["customer_id"], ["order_date", "order_id", "row_id"], "customer_order_rank", spread_by="order_date"
     )
 
 
@@ -131,12 +134,12 @@ def sorted_output(df: DataFrame) -> DataFrame:
     return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def enrich_sales(df: DataFrame, hot_rows: int = 20_000_000, sample: float = 0.01) -> DataFrame:
+def enrich_sales(df: DataFrame) -> DataFrame:
     """All derived columns."""
     return (
         df.transform(is_high_value_order)
         .transform(customer_ltv)
-        .transform(customer_order_rank, hot_rows, sample)
+        .transform(customer_order_rank)
         .transform(date_parts)
         .transform(shipping_days)
         .transform(profit_margin_pct)

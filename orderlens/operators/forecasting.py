@@ -13,7 +13,7 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.money import total
+from ..functions.money import line_total
 
 # Forecast length, interval levels, smallest series, back-test spacing.
 HORIZON_MONTHS = 6
@@ -25,6 +25,7 @@ BACKTEST_INITIAL_SHARE = 0.6
 BACKTEST_MONTH_DAYS = 30
 BACKTEST_STEP_DAYS = 30
 BACKTEST_HORIZON_DAYS = 90
+TREND_FLOOR = 0.01  # share of the mean month below which a trend does not fall: sales are positive
 
 
 def monthly_series(df: DataFrame, keys: Iterable[str] = (), drop_partial_last_month: bool = False) -> DataFrame:
@@ -34,8 +35,8 @@ def monthly_series(df: DataFrame, keys: Iterable[str] = (), drop_partial_last_mo
     """
     keys = list(keys)
     monthly = df.groupBy(*keys, F.trunc("order_date", "month").alias("ds")).agg(
-        total("sales").cast("double").alias("y"),
-        total("profit").cast("double").alias("profit"),
+        line_total("sales").cast("double").alias("y"),
+        line_total("profit").cast("double").alias("profit"),
         F.count_distinct("order_id").alias("orders"),
         F.sum("quantity").alias("units"),
         F.max("order_date").alias("_last_day"),
@@ -52,12 +53,16 @@ def _month_number(day: str) -> Column:
     return F.year(day) * 12 + F.month(day)
 
 
+def _trend() -> Column:
+    return F.greatest(F.col("intercept") + F.col("slope") * F.col("t"), F.col("_floor"))
+
+
 def _fit(rows: DataFrame, keys: list[str], training: Column) -> DataFrame:
     """Add the model of each series, fitted on its ``training`` rows, to all its rows."""
     series = Window.partitionBy(*keys)
     calendar_month = Window.partitionBy(*keys, "month_num")
     y = F.when(training, F.col("y"))
-    ratio = F.when(training & (F.col("trend") > 0), F.col("y") / F.col("trend"))
+    ratio = F.when(training, F.try_divide(F.col("y"), F.col("trend")))
     seen = F.collect_set(F.when(F.col("_raw").isNotNull(), F.struct("month_num", "_raw"))).over(series)
     mean = F.aggregate("_indices", F.lit(0.0), lambda acc, pair: acc + pair["_raw"]) / F.size("_indices")
     error = F.when(training, F.try_divide(F.col("y"), F.col("fitted")) - 1)
@@ -66,12 +71,13 @@ def _fit(rows: DataFrame, keys: list[str], training: Column) -> DataFrame:
         .withColumn("t", _month_number("ds") - F.min(_month_number("ds")).over(series))
         .withColumn("slope", F.regr_slope(y, F.col("t")).over(series))
         .withColumn("intercept", F.regr_intercept(y, F.col("t")).over(series))
-        .withColumn("trend", F.col("intercept") + F.col("slope") * F.col("t"))
+        .withColumn("_floor", F.avg(y).over(series) * TREND_FLOOR)
+        .withColumn("trend", _trend())
         .withColumn("_raw", F.avg(ratio).over(calendar_month))
         .withColumn("_indices", seen)
         .withColumn("_mean", F.when(F.size("_indices") > 0, mean))
         .withColumn("seasonal_index", F.coalesce(F.col("_raw") / F.col("_mean"), F.lit(1.0)))
-        .withColumn("fitted", F.when(F.col("trend") > 0, F.col("trend") * F.col("seasonal_index")))
+        .withColumn("fitted", F.col("trend") * F.col("seasonal_index"))
         .withColumn("residual_sd", F.stddev_samp(error).over(series))
         .drop("_raw")
     )
@@ -102,8 +108,8 @@ def forecast_horizon(
 ) -> DataFrame:
     """Fitted months of every series and ``periods`` months beyond, with bounds.
 
-    ``carry`` names further columns to keep for the history. Series shorter than ``min_months`` are left out. Calendar months never seen get index 1; where
-    the trend is not positive there is no forecast.
+    ``carry`` names further columns to keep for the history. Series shorter than ``min_months`` are left out. Calendar
+    months never seen get index 1. A trend that falls below ``TREND_FLOOR`` of the series' mean stays there.
     """
     keys = list(keys)
     z = NormalDist().inv_cdf(0.5 + level / 2)
@@ -123,9 +129,9 @@ def forecast_horizon(
         .withColumn("t", F.col("t") + F.col("step"))
         .withColumn("month_num", F.month("ds"))
         .withColumns({c: F.when(F.col("step") == 0, F.col(c)) for c in ["y", *carry]})
-        .withColumn("trend", F.col("intercept") + F.col("slope") * F.col("t"))
+        .withColumn("trend", _trend())
         .withColumn("seasonal_index", F.coalesce(known, F.lit(1.0)))
-        .withColumn("yhat", F.when(F.col("trend") > 0, F.col("trend") * F.col("seasonal_index")))
+        .withColumn("yhat", F.col("trend") * F.col("seasonal_index"))
         .withColumn("yhat_lower", F.col("yhat") - z * F.col("residual_sd") * F.col("yhat"))
         .withColumn("yhat_upper", F.col("yhat") + z * F.col("residual_sd") * F.col("yhat"))
         .select(*keys, "ds", "y", "trend", "seasonal_index", "yhat", "yhat_lower", "yhat_upper", "last_month",
@@ -133,7 +139,7 @@ def forecast_horizon(
     )
 
 
-def backtest(
+def backtest_points(
     series: DataFrame,
     keys: Iterable[str] = (),
     initial_share: float = BACKTEST_INITIAL_SHARE,
@@ -141,10 +147,10 @@ def backtest(
     horizon_days: int = BACKTEST_HORIZON_DAYS,
     min_months: int = BACKTEST_MIN_MONTHS,
 ) -> DataFrame:
-    """Rolling-origin errors per series: refit up to each cutoff, compare the days after it.
+    """Rolling-origin forecasts: every month after a cutoff, by a model refitted up to the cutoff.
 
-    Cutoffs run back from the last month less the horizon while the initial training span remains.
-    Every month is repeated once per cutoff that uses it, all series and cutoffs in one job.
+    Cutoffs run back from the last month less the horizon while the initial training span remains. Every month is
+    repeated once per cutoff that uses it, all series and cutoffs in one job.
     """
     keys = list(keys)
     whole = Window.partitionBy(*keys)
@@ -167,20 +173,30 @@ def backtest(
         .drop("_newest", "_oldest")
     )
     fitted = _fit(rows, [*keys, "cutoff"], F.col("ds") <= F.col("cutoff"))
-    error = F.col("y") - F.col("fitted")
-    return (
-        fitted.where("ds > cutoff")
-        .groupBy(*keys)
-        .agg(
-            F.count_distinct("cutoff").alias("folds"),
-            F.count("*").alias("points"),
-            F.avg(F.abs(error)).alias("mae"),
-            F.sqrt(F.avg(error * error)).alias("rmse"),
-            (F.avg(F.abs(error) / F.col("y")) * 100).alias("mape_pct"),
-        )
+    return fitted.where("ds > cutoff").select(
+        *keys, "cutoff", "ds", F.date_diff("ds", "cutoff").alias("horizon_days"), "y", F.col("fitted").alias("yhat")
     )
 
 
+def backtest_metrics(points: DataFrame, by: Iterable[str] = ("horizon_days",)) -> DataFrame:
+    """Errors of back-test points per group, by default per days ahead; ``unforecast`` points have no forecast."""
+    error = F.col("y") - F.col("yhat")
+    return points.groupBy(*by).agg(
+        F.count_distinct("cutoff").alias("folds"),
+        F.count("*").alias("points"),
+        F.count_if(F.col("yhat").isNull()).alias("unforecast"),
+        F.avg(F.abs(error)).alias("mae"),
+        F.sqrt(F.avg(error * error)).alias("rmse"),
+        (F.avg(F.abs(error) / F.col("y")) * 100).alias("mape_pct"),
+    )
+
+
+def backtest(series: DataFrame, keys: Iterable[str] = (), **options) -> DataFrame:
+    """Rolling-origin errors per series, over all points of ``backtest_points``."""
+    keys = list(keys)
+    return backtest_metrics(backtest_points(series, keys, **options), keys)
+
+
 def grouped_forecast(df: DataFrame, keys: Iterable[str] = ("category",), periods: int = HORIZON_MONTHS) -> DataFrame:
     """Forecast of every group's monthly sales with a 90 % interval; groups under six months are left out."""
     return forecast_horizon(monthly_series(df, keys), keys, periods, GROUP_LEVEL, MIN_MONTHS)

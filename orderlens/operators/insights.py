@@ -7,14 +7,14 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import mean, percent, ratio, total
+from ..functions.money import line_total, mean, percent, ratio, total
 from ..sources.files import Star
 
 
 def segment_repeat_ltv(df: DataFrame) -> DataFrame:
     """Customers, share of repeat customers and mean lifetime sales per segment."""
     customers = df.groupBy("segment", "customer_id").agg(
-        F.count_distinct("order_id").alias("_orders"), total("sales").alias("_sales")
+        F.count_distinct("order_id").alias("_orders"), line_total("sales").alias("_sales")
     )
     return customers.groupBy("segment").agg(
         F.count("*").alias("customers"),
@@ -27,7 +27,7 @@ def loss_rate_by_discount(star: Star, threshold: str = "0.30", by_order: bool =
     """Lines (or orders, by total profit) above a discount, and how many of them lose money."""
     above = star.fact.where(F.col("discount_rate") > F.lit(Decimal(threshold)))
     if by_order:
-        above = above.groupBy("order_id").agg(total("profit").alias("profit"))
+        above = above.groupBy("order_id").agg(line_total("profit").alias("profit"))
     return above.agg(
         F.count("*").alias("lines"),
         F.count_if(F.col("profit") < 0).alias("loss_lines"),
@@ -46,7 +46,7 @@ def discount_profit_corr(star: Star, places: int = 6) -> DataFrame:
 
 def seasonal_multiple(df: DataFrame, months: tuple[int, ...] = (11, 12)) -> DataFrame:
     """Mean monthly revenue of ``months`` over that of all months."""
-    monthly = df.groupBy(F.trunc("order_date", "month").alias("ds")).agg(total("sales").alias("_sales"))
+    monthly = df.groupBy(F.trunc("order_date", "month").alias("ds")).agg(line_total("sales").alias("_sales"))
     in_season = F.month("ds").isin(*months)
     figures = monthly.agg(
         total(F.when(in_season, F.col("_sales"))).alias("_season"),
@@ -79,7 +79,7 @@ def region_extremes(regions: DataFrame) -> DataFrame:
 def category_extremes(star: Star) -> DataFrame:
     """Categories with the best and the worst blended margin."""
     per_product = star.fact.groupBy("product_sk").agg(
-        total("net_sales").alias("_net"), total("profit").alias("_profit")
+        line_total("net_sales").alias("_net"), line_total("profit").alias("_profit")
     )
     categories = (
         per_product.join(star.products.select("product_sk", "category"), "product_sk")

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.money import amount, total
+from ..functions.money import amount, line_total, total
 
 # Fixed value: lines from this discount on count as highly discounted.
 HIGH_DISCOUNT = 0.3
@@ -46,8 +46,8 @@ MEASURES = list(_MEASURES)
 
 def _line_sums() -> dict[str, Column]:
     return {
-        "_sales": total("sales"),
-        "_profit": total("profit"),
+        "_sales": line_total("sales"),
+        "_profit": line_total("profit"),
         "_units": F.sum("quantity"),
         "_losses": F.count_if(F.col("profit") < 0),
         "_discounted": F.count_if(F.col("discount") >= HIGH_DISCOUNT),
@@ -121,7 +121,7 @@ def revenue_ly(df: DataFrame, by: Iterable[str] = ()) -> DataFrame:
     """Revenue per month, that of the same month a year earlier, and the growth on it in percent."""
     by = list(by)
     year, month = F.year("order_date").alias("year"), F.month("order_date").alias("month_num")
-    monthly = df.groupBy(*by, year, month).agg(total("sales").alias("_sales"))
+    monthly = df.groupBy(*by, year, month).agg(line_total("sales").alias("_sales"))
     # A frame of exactly one year back: a missing year leaves null, whichever row precedes.
     year_ago = Window.partitionBy(*by, "month_num").orderBy("year").rangeBetween(-1, -1)
     return _with_growth(
@@ -141,7 +141,7 @@ def _with_growth(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def revenue_to_date(df: DataFrame) -> DataFrame:
     """Per day: revenue of the month, quarter and year so far, and profit of the year so far."""
-    daily = df.groupBy("order_date").agg(total("sales").alias("_sales"), total("profit").alias("_profit"))
+    daily = df.groupBy("order_date").agg(line_total("sales").alias("_sales"), line_total("profit").alias("_profit"))
 
     def so_far(column: str, period: str) -> Column:
         window = Window.partitionBy(F.trunc("order_date", period)).orderBy("order_date")
@@ -158,7 +158,7 @@ def revenue_to_date(df: DataFrame) -> DataFrame:
 
 def period_cards(df: DataFrame, as_of: date | None = None) -> DataFrame:
     """One row: month, quarter and year to date at ``as_of``, by default the last order date."""
-    daily = df.groupBy("order_date").agg(total("sales").alias("_sales"), total("profit").alias("_profit"))
+    daily = df.groupBy("order_date").agg(line_total("sales").alias("_sales"), line_total("profit").alias("_profit"))
     last = F.max("order_date").over(Window.partitionBy())  # one row per day
     daily = daily.withColumn("as_of", F.lit(as_of) if as_of else last)
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.calendar import date_key
-from ..functions.money import total
+from ..functions.calendar import calendar_columns, date_key
+from ..functions.money import cents, halves_away, line_total, money, total
 
 # The ship modes with usual days and cost tier; the key is the position.
 SHIP_MODES = [
@@ -19,6 +21,9 @@ SHIP_MODES = [
 CUSTOMER_ATTRIBUTES = ["customer_name", "segment", "city", "state", "postal_code", "country", "region"]
 PRODUCT_ATTRIBUTES = ["product_name", "category", "sub_category"]
 LINE_KEY = ["order_id", "row_id"]
+
+# Lines may carry their money as whole cents and their discount in 1/10000 beside the DECIMALs.
+SALES_CENTS, PROFIT_CENTS, DISCOUNT_UNITS = "sales_cents", "profit_cents", "discount_units"
 LATEST = ["order_date", "order_id", "row_id"]
 
 # Key buckets. A new key takes the next free slot of its natural key's bucket, so keys are unique
@@ -56,7 +61,7 @@ def dim_customers(staging: DataFrame, existing: DataFrame | None = None) -> Data
         .agg(
             F.max_by(F.struct(*CUSTOMER_ATTRIBUTES), F.struct(*LATEST)).alias("_attributes"),
             F.max(F.struct(*LATEST)).alias("_when"),
-            total("sales").alias("sales"),
+            line_total("sales").alias("sales"),
         )
     )
     current = orders.groupBy("customer_id").agg(
@@ -88,7 +93,7 @@ def dim_products(staging: DataFrame, existing: DataFrame | None = None) -> DataF
 def refresh_customer_history(customers: DataFrame, fact: DataFrame) -> DataFrame:
     """Lifetime sales and repeat flag of every customer, from the whole fact table."""
     history = fact.groupBy("customer_sk").agg(
-        total("gross_sales").alias("_ltv"), (F.count_distinct("order_id") > 1).alias("_repeat")
+        line_total("gross_sales").alias("_ltv"), (F.count_distinct("order_id") > 1).alias("_repeat")
     )
     columns = customers.columns
     return (
@@ -99,21 +104,29 @@ def refresh_customer_history(customers: DataFrame, fact: DataFrame) -> DataFrame
     )
 
 
-def derive_measures() -> list[Column]:
-    """Measures of a fact line from sales, quantity, discount and profit, at the table's scales."""
-    sales, profit = F.col("sales"), F.col("profit")
-    per_unit = F.when(F.col("quantity") > 0, sales / F.nullif(F.col("quantity"), F.lit(0))).otherwise(sales)
-    margin = F.when(sales != 0, profit * 100 / F.nullif(sales, F.lit(0))).otherwise(0)
+def derive_measures(exact: bool = False) -> list[Column]:
+    """Measures of a fact line from sales, quantity, discount and profit, at the table's scales.
+
+    They are computed in whole cents and ten-thousandths. ``exact`` takes these from the columns ``SALES_CENTS``,
+    ``PROFIT_CENTS`` and ``DISCOUNT_UNITS`` instead of from the DECIMALs.
+    """
+    sales = F.col(SALES_CENTS) if exact else cents("sales")
+    profit = F.col(PROFIT_CENTS) if exact else cents("profit")
+    discount = F.col(DISCOUNT_UNITS) if exact else F.rint(F.col("discount").cast("double") * 10_000).cast("bigint")
+    quantity = F.col("quantity").cast("int")
+    per_unit = money(F.when(quantity > 0, halves_away(sales, F.greatest(quantity.cast("bigint"), F.lit(1)))).otherwise(sales))
+    # profit * 10^6 / sales; the sign of sales goes to the numerator
+    margin = F.when(sales != 0, halves_away(profit * F.signum(sales).cast("bigint") * 1_000_000, F.abs(sales))).otherwise(0)
     return [
-        F.col("quantity").cast("int").alias("quantity"),
-        F.round(per_unit, 2).cast("decimal(10,2)").alias("unit_price"),
+        quantity.alias("quantity"),
+        per_unit.cast("decimal(10,2)").alias("unit_price"),
         F.col("discount").cast("decimal(5,4)").alias("discount_rate"),
-        sales.cast("decimal(12,2)").alias("gross_sales"),
-        F.round(sales * (1 - F.col("discount")), 2).cast("decimal(12,2)").alias("net_sales"),
-        (sales - profit).cast("decimal(12,2)").alias("cogs"),
-        profit.cast("decimal(12,2)").alias("profit"),
-        F.round(margin, 4).cast("decimal(7,4)").alias("profit_margin_pct"),
-        F.round(per_unit, 2).cast("decimal(10,2)").alias("revenue_per_unit"),
+        F.col("sales").cast("decimal(12,2)").alias("gross_sales"),
+        money(halves_away(sales * (10_000 - discount), F.lit(10_000))).alias("net_sales"),
+        money(sales - profit).alias("cogs"),
+        F.col("profit").cast("decimal(12,2)").alias("profit"),
+        (margin.cast("decimal(14,0)") * F.lit(Decimal("0.0001"))).cast("decimal(7,4)").alias("profit_margin_pct"),
+        per_unit.cast("decimal(10,2)").alias("revenue_per_unit"),
     ]
 
 
@@ -142,20 +155,32 @@ def lookup_keys(derived: DataFrame, customers: DataFrame, products: DataFrame, s
     )
 
 
-def rejected_lines(staging: DataFrame, customers: DataFrame, products: DataFrame, ship_modes: DataFrame) -> DataFrame:
-    """Lines that ``lookup_keys`` drops, once per missing member."""
-    modes = _ship_mode_keys(ship_modes)
-
-    def missing(dimension: DataFrame, key: str) -> DataFrame:
-        return staging.join(dimension.select(key), key, "left_anti").select(
-            "order_id", "row_id", F.lit(key).alias("missing"), F.col(key).cast("string").alias("value")
-        )
+def rejected_lines(
+    staging: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    ship_modes: DataFrame,
+    dates: DataFrame | None = None,
+) -> DataFrame:
+    """Lines that a load drops, once per missing member, in one pass over the lines.
 
-    return (
-        missing(modes, "ship_mode")
-        .unionByName(missing(customers, "customer_id"))
-        .unionByName(missing(products, "product_id"))
-    )
+    With ``dates``, the calendar of a load with a fixed range, also the days it lacks.
+    """
+    members = {
+        "ship_mode": _ship_mode_keys(ship_modes).select("ship_mode"),
+        "customer_id": customers.select("customer_id"),
+        "product_id": products.select("product_id"),
+    }
+    if dates is not None:
+        members |= {day: dates.select(F.col("full_date").alias(day)) for day in ("order_date", "ship_date")}
+    lines = staging.select(*LINE_KEY, *members)
+    for key, known in members.items():
+        lines = lines.join(known.withColumn(f"_has_{key}", F.lit(True)), key, "left")
+    lost = [
+        F.when(F.col(f"_has_{key}").isNull(), F.struct(F.lit(key).alias("missing"), F.col(key).cast("string").alias("value")))
+        for key in members
+    ]
+    return lines.select(*LINE_KEY, F.inline(F.filter(F.array(*lost), lambda x: x.isNotNull())))
 
 
 def new_lines(batch: DataFrame, fact: DataFrame) -> DataFrame:
@@ -164,12 +189,12 @@ def new_lines(batch: DataFrame, fact: DataFrame) -> DataFrame:
     return batch.join(loaded, LINE_KEY, "left_anti")
 
 
-def monthly_sales(fact: DataFrame, customers: DataFrame, products: DataFrame, dates: DataFrame) -> DataFrame:
+def monthly_sales(fact: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Orders, units, revenue, profit and mean margin per month, category and region."""
     return (
         fact.join(products.select("product_sk", "category"), "product_sk")
         .join(customers.select("customer_sk", "region"), "customer_sk")
-        .join(dates.select("date_sk", "year", "month_num", "month_name"), F.col("order_date_sk") == F.col("date_sk"))
+        .select("*", *calendar_columns("order_date_sk", "year", "month_num", "month_name"))
         .groupBy("year", "month_num", "month_name", "category", "region")
         .agg(
             F.count_distinct("order_id").alias("total_orders"),

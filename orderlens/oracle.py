@@ -155,23 +155,23 @@ def _series_views(prefix: str, key: str, source: str) -> dict[str, str]:
                 FROM {source} GROUP BY 1, 2) WHERE y > 0""",
         f"{p}_line": f"""
             SELECT k, regr_slope(y, t) AS b, regr_intercept(y, t) AS a, count(*) AS n, min(ds) AS first_ds,
-                max(ds) AS last_ds, max(t) AS last_t
+                max(ds) AS last_ds, max(t) AS last_t, avg(y) * 0.01 AS least
             FROM {p}_hist GROUP BY k""",
         f"{p}_raw": f"""
-            SELECT k, mn, avg(y / (a + b * t)) AS raw FROM {p}_hist JOIN {p}_line USING (k)
-            WHERE a + b * t > 0 GROUP BY k, mn""",
+            SELECT k, mn, avg(y / greatest(a + b * t, least)) AS raw FROM {p}_hist JOIN {p}_line USING (k)
+            GROUP BY k, mn""",
         f"{p}_si": f"SELECT k, mn, raw / avg(raw) OVER (PARTITION BY k) AS si FROM {p}_raw",
         f"{p}_sd": f"""
-            SELECT k, stddev_samp(y / ((a + b * t) * coalesce(si, 1)) - 1) AS sd
+            SELECT k, stddev_samp(y / (greatest(a + b * t, least) * coalesce(si, 1)) - 1) AS sd
             FROM {p}_hist JOIN {p}_line USING (k) LEFT JOIN {p}_si USING (k, mn)
-            WHERE a + b * t > 0 GROUP BY k""",
+            GROUP BY k""",
         f"{p}_grid": f"""
             SELECT k, ds, t, y FROM {p}_hist
             UNION ALL SELECT k, cast(last_ds + to_months(cast(s AS integer)) AS date), last_t + s, NULL
             FROM {p}_line, (SELECT unnest(range(1, 7)) AS s)""",
         f"{p}_curve": f"""
-            SELECT g.k, g.ds, g.y, a + b * g.t AS trend, coalesce(si, 1) AS si,
-                CASE WHEN a + b * g.t > 0 THEN (a + b * g.t) * coalesce(si, 1) END AS yhat, sd, n, last_ds
+            SELECT g.k, g.ds, g.y, greatest(a + b * g.t, least) AS trend, coalesce(si, 1) AS si,
+                greatest(a + b * g.t, least) * coalesce(si, 1) AS yhat, sd, n, last_ds
             FROM {p}_grid g JOIN {p}_line USING (k) JOIN {p}_sd USING (k)
                 LEFT JOIN {p}_si s ON s.k = g.k AND s.mn = month(g.ds)""",
     }
@@ -186,17 +186,24 @@ _VIEWS |= {
         FROM tot_line, (SELECT unnest(range(0, 200)) AS i)
         WHERE n >= 18 AND last_ds - CAST(90 + 30 * i AS integer) >= first_ds + CAST(floor(n * 0.6 * 30) AS integer)""",
     "bt_train": "SELECT cutoff, ds, y, t, mn FROM tot_hist JOIN cutoffs ON ds <= cutoff",
-    "bt_line": "SELECT cutoff, regr_slope(y, t) AS b, regr_intercept(y, t) AS a FROM bt_train GROUP BY cutoff",
+    "bt_line": """
+        SELECT cutoff, regr_slope(y, t) AS b, regr_intercept(y, t) AS a, avg(y) * 0.01 AS least
+        FROM bt_train GROUP BY cutoff""",
     "bt_raw": """
-        SELECT cutoff, mn, avg(y / (a + b * t)) AS raw FROM bt_train JOIN bt_line USING (cutoff)
-        WHERE a + b * t > 0 GROUP BY cutoff, mn""",
+        SELECT cutoff, mn, avg(y / greatest(a + b * t, least)) AS raw FROM bt_train JOIN bt_line USING (cutoff)
+        GROUP BY cutoff, mn""",
     "bt_si": "SELECT cutoff, mn, raw / avg(raw) OVER (PARTITION BY cutoff) AS si FROM bt_raw",
     "bt_points": """
-        SELECT cutoff, y, CASE WHEN a + b * t > 0 THEN (a + b * t) * coalesce(si, 1) END AS yhat
+        SELECT cutoff, ds, ds - cutoff AS ahead, y, greatest(a + b * t, least) * coalesce(si, 1) AS yhat
         FROM tot_hist JOIN cutoffs ON ds > cutoff AND ds <= cutoff + 90
             JOIN bt_line USING (cutoff) LEFT JOIN bt_si USING (cutoff, mn)""",
 }
 
+_ERRORS = "folds bigint, points bigint, unforecast bigint, mae double, rmse double, mape_pct double"
+_ERROR_SUMS = """count(DISTINCT cutoff) AS folds, count(*) AS points, count(*) FILTER (WHERE yhat IS NULL) AS unforecast,
+    round(avg(abs(y - yhat)), 4) AS mae, round(sqrt(avg((y - yhat) * (y - yhat))), 4) AS rmse,
+    round(avg(abs(y - yhat) / y) * 100, 4) AS mape_pct"""
+
 _RAW_COLUMNS = (
     "row_id varchar, order_id varchar, order_date {date}, ship_date {date}, ship_mode varchar, customer_id varchar, "
     "customer_name varchar, segment varchar, country varchar, city varchar, state varchar, postal_code varchar, "
@@ -551,6 +558,16 @@ _QUERIES: dict[str, tuple[str, str]] = {
             {half_away("sum(n)", "count(*)", 2)} AS avg_orders_per_customer
         FROM (SELECT o_custkey, {_NDV} AS n FROM sold GROUP BY 1) GROUP BY 1""",
     ),
+    "monthly_trend_any_year": (
+        "year integer, month_num integer, month_name varchar, total_orders bigint, units_sold bigint, "
+        "net_revenue double, total_profit double, avg_margin_pct double, year_revenue double",
+        f"""SELECT year(day) AS year, month(day) AS month_num, monthname(day) AS month_name,
+            {_NDV} AS total_orders, sum(quantity) AS units_sold, {_MONEY}, {_MARGIN} AS avg_margin_pct,
+            sum(sum(net_c)) OVER (PARTITION BY year(day)) / 1e2 AS year_revenue
+        FROM (SELECT sold.*, cast(cast(o_orderdate AS date) + to_years(shift) AS date) AS day
+            FROM sold JOIN orders USING (o_orderkey), (SELECT unnest([10, 40]) AS shift))
+        GROUP BY 1, 2, 3""",
+    ),
     "yoy_growth": (
         "year integer, net_revenue double, total_profit double, prev_year_revenue double, "
         "yoy_revenue_growth_pct double, yoy_profit_growth_pct double",
@@ -862,11 +879,14 @@ _QUERIES: dict[str, tuple[str, str]] = {
         "ds date, y double, trend double, seasonal_index double, yhat double, yhat_lower double, yhat_upper double",
         f"SELECT ds, round(COLUMNS(* EXCLUDE (ds)), 2) FROM (SELECT {_CURVE.format(z=_Z95)} FROM tot_curve)",
     ),
-    "backtest": (
-        "folds bigint, points bigint, mae double, rmse double, mape_pct double",
-        """SELECT count(DISTINCT cutoff) AS folds, count(*) AS points, round(avg(abs(y - yhat)), 4) AS mae,
-            round(sqrt(avg((y - yhat) * (y - yhat))), 4) AS rmse, round(avg(abs(y - yhat) / y) * 100, 4) AS mape_pct
-        FROM bt_points""",
+    "backtest": (_ERRORS, f"SELECT {_ERROR_SUMS} FROM bt_points"),
+    "backtest_points": (
+        "cutoff date, ds date, horizon_days integer, y double, yhat double",
+        "SELECT cutoff, ds, ahead AS horizon_days, y, round(yhat, 4) AS yhat FROM bt_points",
+    ),
+    "backtest_metrics": (
+        "horizon_days integer, " + _ERRORS,
+        f"SELECT ahead AS horizon_days, {_ERROR_SUMS} FROM bt_points GROUP BY ahead",
     ),
     "grouped_forecast": (
         "category varchar, ds date, y double, trend double, seasonal_index double, yhat double, yhat_lower double, "

@@ -31,6 +31,7 @@ from .sources.tables import TradeTables
 AS_OF = date(2021, 12, 31)  # day that recency counts from
 LOADED_UNTIL = 20191231  # key of the last order date that the incremental load already has
 SLICED_YEAR = 2020
+EARLY_YEARS, LATE_YEARS = 10, 40  # shifts of the source's dates that leave the standard calendar
 LINE_ID = ["order_id", "row_id"]
 AUDIT = ["created_at", "updated_at"]
 
@@ -94,7 +95,7 @@ def _stored_star(src: TradeTables) -> Star:
     fact = w.lookup_keys(w.derive_fact(staging), customers, products, modes)
     files.write_fact(fact, f"{path}/fact_sales")
     fact = src.spark.read.parquet(f"{path}/fact_sales")
-    monthly = w.monthly_sales(fact, customers, products, dates)
+    monthly = w.monthly_sales(fact, customers, products)
     return Star(fact, customers, products, dates, modes, monthly)
 
 
@@ -264,6 +265,16 @@ def run_forecast_query(src: TradeTables) -> DataFrame:
     )
 
 
+def monthly_trend_any_year(src: TradeTables) -> DataFrame:
+    """Orders in years before and after the standard calendar."""
+    early, late = (TradeTables(src.spark, src.folder, years) for years in (EARLY_YEARS, LATE_YEARS))
+    stars = [t_.star(orders=True) for t_ in (early, late)]
+    fact = stars[0].fact.unionByName(stars[1].fact)
+    return q.monthly_trend(Star(fact)).join(
+        q.yoy_growth(Star(fact)).select("year", F.col("net_revenue").alias("year_revenue")), "year"
+    )
+
+
 QUERIES: dict[str, Query] = {
     # sources and sinks
     "read_raw_sales": read_raw_sales,
@@ -335,10 +346,11 @@ QUERIES: dict[str, Query] = {
     "fact_incremental": fact_incremental,
     "fact_rejects": fact_rejects,
     "agg_monthly_sales": lambda src: (
-        lambda star: w.monthly_sales(star.fact, star.customers, star.products, star.dates)
+        lambda star: w.monthly_sales(star.fact, star.customers, star.products)
     )(src.star(customers=True, products=True)),
     "load_star": load_star_twice,
     # business questions
+    "monthly_trend_any_year": monthly_trend_any_year,
     "monthly_trend": lambda src: q.monthly_trend(src.star(orders=True)),
     "top_products": lambda src: q.top_products(src.star(products=True)),
     "region_performance": lambda src: q.region_performance(src.star(customers=True)),
@@ -417,6 +429,8 @@ QUERIES: dict[str, Query] = {
     "fit_trend_season": lambda src: _rounded(t.fit_trend_season(_series(src))),
     "forecast_horizon": lambda src: _rounded(t.forecast_horizon(_series(src)), 2).drop("last_month"),
     "backtest": lambda src: _rounded(t.backtest(_series(src)), 4),
+    "backtest_points": lambda src: _rounded(t.backtest_points(_series(src)), 4),
+    "backtest_metrics": lambda src: _rounded(t.backtest_metrics(t.backtest_points(_series(src))), 4),
     "grouped_forecast": lambda src: _rounded(
         t.grouped_forecast(src.sales_lines(orders=True, products=True)), 2
     ).drop("last_month"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..schemas import CLEAN_SCHEMA, FORECAST_SCHEMA
 
 RAW_ENCODING = "ISO-8859-1"
+QUOTING = {"quote": '"', "escape": '"'}  # a quote inside a quoted field is doubled, as other tools read and write it
 
 
 @dataclass(frozen=True)
@@ -24,14 +25,19 @@ class Star:
     monthly: DataFrame | None = None
 
 
-def read_raw_sales(spark: SparkSession, path: str) -> DataFrame:
-    """Headered latin-1 CSV of order lines, every column as text under its own name."""
-    return spark.read.csv(path, header=True, inferSchema=False, encoding=RAW_ENCODING)
+def read_raw_sales(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Headered latin-1 CSV of order lines, every column as text under its own name.
+
+    ``multi_line`` is for files with line breaks inside quotes; each file is then read by one task.
+    """
+    return spark.read.csv(
+        path, header=True, inferSchema=False, encoding=RAW_ENCODING, multiLine=multi_line, **QUOTING
+    )
 
 
 def write_raw_sales(df: DataFrame, path: str) -> None:
     """Order lines as headered latin-1 CSV files."""
-    df.write.csv(path, header=True, encoding=RAW_ENCODING, mode="overwrite")
+    df.write.csv(path, header=True, encoding=RAW_ENCODING, mode="overwrite", **QUOTING)
 
 
 def write_clean_sales(df: DataFrame, path: str, fmt: str = "csv") -> None:
@@ -111,9 +117,9 @@ def _tables(star: Star) -> dict[str, DataFrame]:
 
 
 def _write(df: DataFrame, path: str, fmt: str) -> None:
-    df.write.format(fmt).option("header", True).mode("overwrite").save(path)
+    df.write.format(fmt).options(header=True, **QUOTING).mode("overwrite").save(path)
 
 
 def _read(spark: SparkSession, path: str, schema: str, fmt: str) -> DataFrame:
     # CSV columns are matched by position; without enforceSchema a header that disagrees is an error.
-    return spark.read.schema(schema).format(fmt).options(header=True, enforceSchema=False).load(path)
+    return spark.read.schema(schema).format(fmt).options(header=True, enforceSchema=False, **QUOTING).load(path)

@@ -7,26 +7,20 @@ Every view is built from only the tables its columns need.
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import date_key, day_range, days_covering, report_calendar, warehouse_calendar
+from ..functions.money import cents, halves_away, money
 from ..functions.ranking import grouped_row_number
-from ..operators.warehouse import derive_measures, dim_ship_mode
+from ..operators.warehouse import DISCOUNT_UNITS, PROFIT_CENTS, SALES_CENTS, derive_measures, dim_ship_mode
 from ..schemas import LINE_COLUMNS, RAW_HEADER
 from .files import Star
 
 YEARS_LATER = 20
-DISCOUNT = "cast(cast(l_discount AS decimal(5,4)) * 8 AS decimal(5,4))"
-SALES = "cast(round(cast(l_extendedprice AS decimal(12,2)) * cast(0.002 AS decimal(4,3)), 2) AS decimal(12,2))"
-# A fifth of sales, two points more per last digit of the part, less 0.6 of the discount.
-PROFIT = (
-    "cast(round(sales * (cast(0.20 AS decimal(3,2))"
-    " + cast(l_partkey % 10 AS decimal(2,0)) * cast(0.02 AS decimal(3,2))"
-    " - cast(0.6 AS decimal(2,1)) * discount), 2) AS decimal(12,2))"
-)
 # Order priority -> ship mode, key of the ship mode, days to ship.
 SHIP_MODE = {
     "1-URGENT": ("Same Day", 4, 0),
@@ -40,9 +34,10 @@ LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_qu
 class TradeTables:
     """Views over one folder of tables."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, years_later: int = YEARS_LATER):
         self.spark = spark
         self.folder = folder
+        self.years_later = years_later
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -51,11 +46,18 @@ class TradeTables:
 
     def priced_lines(self) -> DataFrame:
         """Line items with sales, discount, profit and quantity."""
+        price = cents("l_extendedprice")
+        sales, discount = F.col(SALES_CENTS), F.col(DISCOUNT_UNITS)
+        # A fifth of sales, two points more per last digit of the part, less 0.6 of the discount.
+        share = 20_000 + F.col("l_partkey") % 10 * 2_000 - discount * 6
         return (
             self.table("lineitem")
-            .withColumn("sales", F.expr(SALES))
-            .withColumn("discount", F.expr(DISCOUNT))
-            .withColumn("profit", F.expr(PROFIT))
+            .withColumn(SALES_CENTS, halves_away(price * 2, F.lit(1000)))
+            .withColumn(DISCOUNT_UNITS, F.rint(F.col("l_discount") * 10_000).cast("bigint") * 8)
+            .withColumn(PROFIT_CENTS, halves_away(sales * share, F.lit(100_000)))
+            .withColumn("sales", money(sales))
+            .withColumn("discount", (discount.cast("decimal(8,0)") * F.lit(Decimal("0.0001"))).cast("decimal(5,4)"))
+            .withColumn("profit", money(F.col(PROFIT_CENTS)))
             .withColumn("quantity", F.col("l_quantity").cast("int"))
         )
 
@@ -64,7 +66,7 @@ class TradeTables:
         return self.table("orders").select(
             "o_orderkey",
             "o_custkey",
-            F.add_months(F.col("o_orderdate").cast("date"), 12 * YEARS_LATER).alias("order_date"),
+            F.add_months(F.col("o_orderdate").cast("date"), 12 * self.years_later).alias("order_date"),
             *[_by_priority(i).alias(name) for i, name in enumerate(["ship_mode", "ship_mode_sk", "_ship_days"])],
         )
 
@@ -106,7 +108,7 @@ class TradeTables:
         columns = [
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_sk"),
-            "sales", "quantity", "discount", "profit",
+            "sales", "quantity", "discount", "profit", SALES_CENTS, DISCOUNT_UNITS, PROFIT_CENTS,
             *(["row_id"] if numbered else []),
         ]
         if orders or customers:
@@ -174,7 +176,7 @@ class TradeTables:
     def star(self, orders: bool = False, customers: bool = False, products: bool = False) -> Star:
         """A star schema whose keys are the source's own; only the asked-for parts are joined."""
         lines = self.sales_lines(orders=orders or customers)
-        columns = ["order_id", "product_sk", *derive_measures()]
+        columns = ["order_id", "product_sk", *derive_measures(exact=True)]
         if orders or customers:
             columns += [
                 "customer_sk",
