@@ -59,7 +59,6 @@ def etl_summary(df: DataFrame) -> DataFrame:
 
 def constraint_report(star: Star) -> DataFrame:
     """(rule, violations, passed) for the declared keys, references and mandatory columns of a star schema."""
-    fact = star.fact
     checks = [
         _unique(star.customers, "dim_customers", "customer_sk"),
         _unique(star.customers, "dim_customers", "customer_id"),
@@ -70,14 +69,8 @@ def constraint_report(star: Star) -> DataFrame:
         _unique(star.dates, "dim_date", "date_sk"),
         _unique(star.dates, "dim_date", "full_date"),
         _unique(star.ship_modes, "dim_ship_mode", "ship_mode_name"),
-        _unique(fact, "fact_sales", "order_id", "row_id"),
-        _present(fact, "fact_sales", ["order_id", "order_date_sk", "customer_sk", "product_sk", "quantity",
-                                      "unit_price", "discount_rate", "gross_sales", "net_sales", "cogs", "profit"]),
-        _resolves(fact, "order_date_sk", star.dates, "date_sk"),
-        _resolves(fact, "ship_date_sk", star.dates, "date_sk"),
-        _resolves(fact, "customer_sk", star.customers, "customer_sk"),
-        _resolves(fact, "product_sk", star.products, "product_sk"),
-        _resolves(fact, "ship_mode_sk", star.ship_modes, "ship_mode_sk"),
+        _unique(star.fact, "fact_sales", "order_id", "row_id"),
+        _fact_rows(star),
     ]
     if star.monthly is not None:
         checks.append(_unique(star.monthly, "agg_monthly_sales", "year", "month_num", "category", "region"))
@@ -100,9 +93,28 @@ def _present(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     return _check(df.agg(F.count_if(missing).alias("violations")), f"{table} mandatory columns")
 
 
-def _resolves(fact: DataFrame, key: str, dimension: DataFrame, dimension_key: str) -> DataFrame:
-    """Fact lines whose key is missing from the dimension."""
-    used = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("lines"))
-    members = dimension.select(F.col(dimension_key).alias("_member"))
-    lost = used.join(members, F.col(key) == F.col("_member"), "left_anti")
-    return _check(lost.agg(F.coalesce(F.sum("lines"), F.lit(0)).alias("violations")), f"fact_sales.{key} resolves")
+_FACT_MANDATORY = ["order_id", "order_date_sk", "customer_sk", "product_sk", "quantity", "unit_price", "discount_rate",
+                   "gross_sales", "net_sales", "cogs", "profit"]
+
+
+def _fact_rows(star: Star) -> DataFrame:
+    """Mandatory columns and references of the fact lines, in one pass over them."""
+    references = {
+        "order_date_sk": (star.dates, "date_sk"),
+        "ship_date_sk": (star.dates, "date_sk"),
+        "customer_sk": (star.customers, "customer_sk"),
+        "product_sk": (star.products, "product_sk"),
+        "ship_mode_sk": (star.ship_modes, "ship_mode_sk"),
+    }
+    lines = star.fact.select(*dict.fromkeys([*_FACT_MANDATORY, *references]))
+    for key, (dimension, member) in references.items():
+        members = dimension.select(F.col(member).alias(key)).distinct().withColumn(f"_has_{key}", F.lit(True))
+        lines = lines.join(members, key, "left")
+    missing = reduce(Column.__or__, [F.col(c).isNull() for c in _FACT_MANDATORY])
+    counts = {"fact_sales mandatory columns": F.count_if(missing)} | {
+        f"fact_sales.{key} resolves": F.count_if(F.col(key).isNotNull() & F.col(f"_has_{key}").isNull())
+        for key in references
+    }
+    found = lines.agg(*[n.alias(f"_{i}") for i, n in enumerate(counts.values())])
+    rows = [F.struct(F.lit(rule).alias("rule"), F.col(f"_{i}").alias("violations")) for i, rule in enumerate(counts)]
+    return found.select(F.inline(F.array(*rows)))

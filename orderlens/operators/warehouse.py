@@ -50,57 +50,85 @@ def typed_staging(clean: DataFrame) -> DataFrame:
     return clean.withColumns({name: exact.get(name, F.col(name)).cast(to) for name, to in types.items()})
 
 
+def latest_attributes(staging: DataFrame, key: str, attributes: list[str]) -> DataFrame:
+    """``attributes`` of the last line of every ``key``.
+
+    The last day is found by hash aggregation; only the lines of that day are put in order.
+    """
+    known = staging.where(F.col(key).isNotNull())
+    last = known.groupBy(key).agg(F.max("order_date").alias("_last_day"))
+    newest = known.join(last, key).where(F.col("order_date").eqNullSafe(F.col("_last_day")))
+    latest = newest.groupBy(key).agg(F.max_by(F.struct(*attributes), F.struct(*LATEST)).alias("_attributes"))
+    return latest.select(key, *[F.col(f"_attributes.{a}").alias(a) for a in attributes])
+
+
+def customer_history(lines: DataFrame, key: str, sales: str) -> DataFrame:
+    """Sales, and first and last order id, of every customer in ``lines``."""
+    orders = lines.groupBy(key, "order_id").agg(line_total(sales).alias("_sales"))
+    return orders.groupBy(key).agg(
+        total("_sales").alias("customer_ltv"), F.min("order_id").alias("first_order"), F.max("order_id").alias("last_order")
+    )
+
+
 def dim_customers(staging: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """One row per customer: latest attributes, lifetime sales, whether more than one order.
 
     With ``existing``, known customers keep their key; those absent from staging keep their row.
     """
-    orders = (
-        staging.where("customer_id IS NOT NULL")
-        .groupBy("customer_id", "order_id")
-        .agg(
-            F.max_by(F.struct(*CUSTOMER_ATTRIBUTES), F.struct(*LATEST)).alias("_attributes"),
-            F.max(F.struct(*LATEST)).alias("_when"),
-            line_total("sales").alias("sales"),
-        )
-    )
-    current = orders.groupBy("customer_id").agg(
-        F.max_by("_attributes", "_when").alias("_attributes"),
-        total("sales").alias("customer_ltv"),
-        (F.count("order_id") > 1).alias("is_repeat"),
+    known = staging.where("customer_id IS NOT NULL")
+    history = customer_history(known, "customer_id", "sales").select(
+        "customer_id", "customer_ltv", (F.col("first_order") != F.col("last_order")).alias("is_repeat")
     )
-    attributes = [F.col(f"_attributes.{a}").alias(a) for a in CUSTOMER_ATTRIBUTES]
-    current = current.select("customer_id", *attributes, "customer_ltv", "is_repeat")
-    return _with_keys(current, "customer_id", "customer_sk", existing)
+    current = latest_attributes(known, "customer_id", CUSTOMER_ATTRIBUTES).join(history, "customer_id")
+    return with_keys(current, "customer_id", "customer_sk", existing)
 
 
 def dim_products(staging: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """One row per product with its latest attributes; no brand is known, all are active."""
-    newest = (
-        staging.where("product_id IS NOT NULL")
-        .groupBy("product_id")
-        .agg(F.max_by(F.struct(*PRODUCT_ATTRIBUTES), F.struct(*LATEST)).alias("_attributes"))
+    current = latest_attributes(staging, "product_id", PRODUCT_ATTRIBUTES).select(
+        "*", F.lit(None).cast("string").alias("brand"), F.lit(True).alias("is_active")
     )
-    current = newest.select(
-        "product_id",
-        *[F.col(f"_attributes.{a}").alias(a) for a in PRODUCT_ATTRIBUTES],
-        F.lit(None).cast("string").alias("brand"),
-        F.lit(True).alias("is_active"),
+    return with_keys(current, "product_id", "product_sk", existing)
+
+
+def customer_keys(staging: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """The key of every customer, known or new."""
+    return with_keys(
+        staging.select("customer_id").where("customer_id IS NOT NULL").distinct(), "customer_id", "customer_sk", existing
     )
-    return _with_keys(current, "product_id", "product_sk", existing)
 
 
-def refresh_customer_history(customers: DataFrame, fact: DataFrame) -> DataFrame:
-    """Lifetime sales and repeat flag of every customer, from the whole fact table."""
-    history = fact.groupBy("customer_sk").agg(
-        line_total("gross_sales").alias("_ltv"), (F.count_distinct("order_id") > 1).alias("_repeat")
+def merge_customers(keys: DataFrame, staging: DataFrame, added: DataFrame, before: DataFrame | None) -> DataFrame:
+    """dim_customers after a load, with each customer's first order id.
+
+    ``keys`` are all keys, ``added`` the fact lines that ``before``, the dimension so far, does not count yet. Only
+    these are read: sales are added, and a customer repeats once an order id differs from the first.
+    """
+    attributes = CUSTOMER_ATTRIBUTES
+    now = latest_attributes(staging, "customer_id", attributes).select(
+        "customer_id", F.struct(*attributes).alias("_now"), F.lit(True).alias("_present")
     )
-    columns = customers.columns
-    return (
-        customers.join(history, "customer_sk", "left")
-        .withColumn("customer_ltv", F.coalesce("_ltv", F.lit(0).cast("decimal(20,2)")))
-        .withColumn("is_repeat", F.coalesce("_repeat", F.lit(False)))
-        .select(*columns)
+    new = customer_history(added, "customer_sk", "gross_sales").withColumnRenamed("customer_ltv", "_new")
+    if before is None:
+        nothing = {a: F.lit(None).cast("string") for a in [*attributes, "first_order"]}
+        nothing |= {"customer_ltv": F.lit(None).cast("decimal(20,2)"), "is_repeat": F.lit(False)}
+        before = keys.where("false").withColumns(nothing)
+    old = before.select(
+        "customer_sk", F.struct(*attributes).alias("_old"), F.col("customer_ltv").alias("_ltv"),
+        F.col("is_repeat").alias("_repeat"), F.col("first_order").alias("_first"), F.col("updated_at").alias("_updated"),
+    )
+    rows = keys.select("customer_id", "customer_sk", "created_at").join(now, "customer_id", "left")
+    rows = rows.join(old, "customer_sk", "left").join(new, "customer_sk", "left")
+    first = F.coalesce("_first", "first_order")
+    shown = F.when(F.col("_present"), F.col("_now")).otherwise(F.col("_old"))
+    zero = F.lit(0).cast("decimal(20,2)")
+    return rows.withColumn("_shown", shown).select(
+        "customer_sk", "customer_id", *[F.col(f"_shown.{a}").alias(a) for a in attributes],
+        (F.coalesce("_ltv", zero) + F.coalesce("_new", zero)).cast("decimal(20,2)").alias("customer_ltv"),
+        (F.coalesce("_repeat", F.lit(False)) | F.coalesce((F.col("first_order") != first) | (F.col("last_order") != first), F.lit(False)))
+        .alias("is_repeat"),
+        first.alias("first_order"), "created_at",
+        F.when(F.col("_present"), F.current_timestamp()).otherwise(F.col("_updated")).alias("updated_at"),
     )
 
 
@@ -213,7 +241,7 @@ def _ship_mode_keys(ship_modes: DataFrame) -> DataFrame:
     return ship_modes.select(F.col("ship_mode_name").alias("ship_mode"), "ship_mode_sk")
 
 
-def _with_keys(current: DataFrame, natural_key: str, key: str, existing: DataFrame | None) -> DataFrame:
+def with_keys(current: DataFrame, natural_key: str, key: str, existing: DataFrame | None) -> DataFrame:
     """Add the dimension key and audit times; known members keep their key and time of creation."""
     bucket = F.pmod(F.xxhash64(natural_key), F.lit(KEY_BUCKETS)).cast("int")
     slot = F.row_number().over(Window.partitionBy("_bucket").orderBy(natural_key))

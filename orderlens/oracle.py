@@ -517,12 +517,11 @@ _QUERIES: dict[str, tuple[str, str]] = {
         FROM sold_all GROUP BY ALL""",
     ),
     "load_star": (
-        "table_name varchar, rows bigint",
-        """SELECT 'fact_sales' AS table_name, count(*) AS rows FROM staging
-        UNION ALL SELECT 'dim_customers', count(DISTINCT c_custkey) FROM staging
-        UNION ALL SELECT 'dim_products', count(DISTINCT p_partkey) FROM staging
-        UNION ALL SELECT 'agg_monthly_sales', count(*) FROM
-            (SELECT DISTINCT year(order_date), month(order_date), category, region FROM staging)""",
+        "customer_id varchar, customer_name varchar, region varchar, customer_ltv double, is_repeat boolean, "
+        "lines bigint, net_sales double, products bigint",
+        f"""SELECT customer_id, customer_name, region, {_REVENUE} AS customer_ltv, {_NDV} > 1 AS is_repeat,
+            count(*) AS lines, {usd(_NET)} AS net_sales, count(DISTINCT product_id) AS products
+        FROM staging GROUP BY ALL""",
     ),
     "monthly_trend": (
         "year integer, month_num integer, month_name varchar, total_orders bigint, units_sold bigint, "

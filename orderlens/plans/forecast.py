@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from ..operators.forecasting import backtest, forecast_horizon, forecast_table, grouped_forecast, monthly_series
+from ..session import stored
 from ..sources.files import write_forecast
 
 
@@ -20,8 +21,11 @@ class ForecastRun:
 
 
 def run_forecast(lines: DataFrame, path: str | None = None, group: str = "category") -> ForecastRun:
-    """Forecast total and grouped monthly sales, back-test, and write the table if ``path`` is given."""
-    series = monthly_series(lines)
+    """Forecast total and grouped monthly sales, back-test, and write the table if ``path`` is given.
+
+    The monthly series is stored once, when called; forecast, table and back-test read it from there.
+    """
+    series = stored(monthly_series(lines), "monthly_series")
     forecast = forecast_horizon(series)
     table = forecast_table(forecast)
     if path:

@@ -99,17 +99,6 @@ def _stored_star(src: TradeTables) -> Star:
     return Star(fact, customers, products, dates, modes, monthly)
 
 
-def _table_sizes(star: Star) -> DataFrame:
-    tables = {
-        "fact_sales": star.fact,
-        "dim_customers": star.customers,
-        "dim_products": star.products,
-        "agg_monthly_sales": star.monthly,
-    }
-    sizes = [df.agg(F.lit(name).alias("table_name"), F.count("*").alias("rows")) for name, df in tables.items()]
-    return sizes[0].unionByName(sizes[1]).unionByName(sizes[2]).unionByName(sizes[3])
-
-
 # -- sources and sinks --------------------------------------------------------------------
 
 
@@ -198,10 +187,18 @@ def fact_rejects(src: TradeTables) -> DataFrame:
 
 
 def load_star_twice(src: TradeTables) -> DataFrame:
-    """Table sizes after loading the older lines, then all lines."""
+    """Every customer's history and lines after loading the older lines, then all lines."""
     staging, path = _staged(src), shared_path(src.spark, "star")
     load_star(src.spark, staging.where(date_key("order_date") <= LOADED_UNTIL), path)
-    return _table_sizes(load_star(src.spark, staging, path))
+    star = load_star(src.spark, staging, path)
+    lines = star.fact.groupBy("customer_sk").agg(F.count("*").alias("lines"), F.sum("net_sales").alias("net_sales"))
+    products = star.fact.join(star.products, "product_sk").groupBy("customer_sk").agg(
+        F.count_distinct("product_id").alias("products")
+    )
+    return (
+        star.customers.join(lines, "customer_sk", "left").join(products, "customer_sk", "left")
+        .select("customer_id", "customer_name", "region", "customer_ltv", "is_repeat", "lines", "net_sales", "products")
+    )
 
 
 # -- BI -----------------------------------------------------------------------------------

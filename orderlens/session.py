@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,13 +51,41 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_workspace: ContextVar[str | None] = ContextVar("workspace", default=None)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below the current workspace, or else the shared folder."""
+    folder = _workspace.get() or shared_dir(spark).rstrip("/")
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[str]:
+    """A folder of its own for everything that the block stores or checkpoints, removed at the block's end.
+
+    DataFrames made inside read these tables, so use or write them before the block ends. Without a workspace stored
+    tables stay below the shared folder.
+    """
+    base, context = shared_dir(spark).rstrip("/"), spark.sparkContext
+    folder = f"{base}/workspace-{uuid.uuid4().hex}"
+    token = _workspace.set(folder)
+    context.setCheckpointDir(f"{folder}/checkpoints")
+    try:
+        yield folder
+    finally:
+        _workspace.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+        files.delete(path(folder), True)
+        context.setCheckpointDir(base)
+        made = path(context.getCheckpointDir())  # an empty folder that Spark makes at once
+        if made.getParent() and not files.listStatus(made):
+            files.delete(made, False)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table below the shared folder, for plans that read it several times."""
+    """``df`` as a table, written when called, for plans that read it several times."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
