@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.ranking import exact_percentiles
-from ..schemas import DATE_COLUMNS, LINE_COLUMNS, MEASURES
+from ..schemas import DATE_COLUMNS, LINE_COLUMNS, MEASURES, NUMERIC_IDS, WHOLE_COLUMNS
 from ..session import stored
 
 DATE_FORMATS = ["yyyy-MM-dd", "M/d/yyyy"]
@@ -50,7 +50,7 @@ def parse_dates_drop_bad(
     return df.withColumns(parsed).dropna(subset=present)
 
 
-def coerce_numeric(df: DataFrame, columns: list[str] = MEASURES) -> DataFrame:
+def coerce_numeric(df: DataFrame, columns: list[str] = [*MEASURES, *NUMERIC_IDS]) -> DataFrame:
     """Text to DOUBLE; what is no number becomes null."""
     numbers = {c: F.col(c).try_cast("double") for c in columns if c in df.columns}
     return df.withColumns({c: F.when(~F.isnan(value), value) for c, value in numbers.items()})
@@ -80,6 +80,14 @@ def fill_unknown(df: DataFrame) -> DataFrame:
     return df.fillna(UNKNOWN, subset=[f.name for f in df.schema if isinstance(f.dataType, T.StringType)])
 
 
+def whole_numbers(df: DataFrame) -> DataFrame:
+    """Row ids and quantities as whole numbers, halves up; postal codes as text again."""
+    whole = {c: F.round(c).cast("int") for c in WHOLE_COLUMNS if c in df.columns}
+    if "postal_code" in df.columns:
+        whole["postal_code"] = F.round("postal_code").cast("bigint").cast("string")
+    return df.withColumns(whole)
+
+
 def typed_lines(df: DataFrame) -> DataFrame:
     """The steps before imputation: deduplicated, named, with dates and numbers."""
     return (
@@ -94,7 +102,8 @@ def typed_lines(df: DataFrame) -> DataFrame:
 def clean_sales(df: DataFrame) -> DataFrame:
     """Raw lines to clean lines.
 
-    The typed lines are stored once. The medians then read four columns of them, and the result is
-    a projection, so that text is parsed and rows are compared a single time.
+    Runs when called: the typed lines are stored once. The medians then read the numeric columns of them, and the
+    result is a projection, so that text is parsed and rows are compared a single time.
     """
-    return stored(typed_lines(df), "typed_lines").transform(impute_median).transform(fill_unknown)
+    lines = stored(typed_lines(df), "typed_lines")
+    return lines.transform(impute_median).transform(whole_numbers).transform(fill_unknown)

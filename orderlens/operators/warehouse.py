@@ -38,7 +38,7 @@ def dim_ship_mode(spark: SparkSession) -> DataFrame:
 
 
 def typed_staging(clean: DataFrame) -> DataFrame:
-    """Cleaned lines at the types of the star schema."""
+    """Cleaned lines at the types of the star schema; a row id that is no number is null, so the line counts as new."""
     types = {
         "row_id": "int",
         "quantity": "int",
@@ -47,7 +47,8 @@ def typed_staging(clean: DataFrame) -> DataFrame:
         "profit": "decimal(12,2)",
     }
     exact = {name: F.round(F.col(name).cast("decimal(24,8)"), 4) for name in ("sales", "discount", "profit")}
-    return clean.withColumns({name: exact.get(name, F.col(name)).cast(to) for name, to in types.items()})
+    whole = {name: F.round(F.col(name).try_cast("double")) for name in ("row_id", "quantity")}
+    return clean.withColumns({name: (exact | whole)[name].cast(to) for name, to in types.items()})
 
 
 def latest_attributes(staging: DataFrame, key: str, attributes: list[str]) -> DataFrame:

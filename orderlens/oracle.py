@@ -81,7 +81,7 @@ _VIEWS = {
             'United States' AS country, cast(NULL AS varchar) AS city, cast(NULL AS varchar) AS postal_code
         FROM numbered n JOIN buyers ON n.o_custkey = buyers.c_custkey JOIN goods ON l_partkey = p_partkey""",
     "raw": """
-        SELECT cast(row_id AS varchar) AS row_id, order_id,
+        SELECT CASE WHEN p_partkey % 79 <> 0 THEN cast(row_id AS varchar) END AS row_id, order_id,
             CASE WHEN l_orderkey % 101 = 0 THEN 'bad' WHEN l_orderkey % 2 = 1 THEN strftime(order_date, '%-m/%-d/%Y')
                 ELSE strftime(order_date, '%Y-%m-%d') END AS order_date,
             strftime(ship_date, '%Y-%m-%d') AS ship_date,
@@ -101,18 +101,20 @@ _VIEWS = {
             try_strptime(ship_date, '%Y-%m-%d')::date AS ship_date)
         FROM raw WHERE order_date <> 'bad'""",
     "numbers": """
-        SELECT * REPLACE (try_cast(sales AS double) AS sales, try_cast(quantity AS double) AS quantity,
+        SELECT * REPLACE (try_cast(row_id AS double) AS row_id, try_cast(sales AS double) AS sales, try_cast(quantity AS double) AS quantity,
             try_cast(discount AS double) AS discount, try_cast(profit AS double) AS profit)
         FROM dated""",
     "filled": """
         SELECT * REPLACE (
+            round(coalesce(row_id, (SELECT median(row_id) FROM numbers)), 6) AS row_id,
             round(coalesce(sales, (SELECT median(sales) FROM numbers)), 6) AS sales,
             round(coalesce(quantity, (SELECT median(quantity) FROM numbers)), 6) AS quantity,
             round(coalesce(discount, (SELECT median(discount) FROM numbers)), 6) AS discount,
             round(coalesce(profit, (SELECT median(profit) FROM numbers)), 6) AS profit)
         FROM numbers""",
     "clean": """
-        SELECT * REPLACE (coalesce(ship_mode, 'Unknown') AS ship_mode, coalesce(region, 'Unknown') AS region,
+        SELECT * REPLACE (cast(round(row_id) AS integer) AS row_id, cast(round(quantity) AS integer) AS quantity,
+            coalesce(ship_mode, 'Unknown') AS ship_mode, coalesce(region, 'Unknown') AS region,
             coalesce(city, 'Unknown') AS city, coalesce(postal_code, 'Unknown') AS postal_code)
         FROM filled""",
     "months": """
@@ -212,7 +214,11 @@ _RAW_COLUMNS = (
 )
 _RAW_TEXT = _RAW_COLUMNS.format(date="varchar", number="varchar")
 _DATED = _RAW_COLUMNS.format(date="date", number="varchar")
-_CLEAN = _RAW_COLUMNS.format(date="date", number="double")
+_CLEAN = (
+    _RAW_COLUMNS.format(date="date", number="double")
+    .replace("row_id varchar", "row_id integer").replace("quantity double", "quantity integer")
+)
+_NUMBER_ID = "order_id varchar, row_id double, "
 _ID = "order_id varchar, row_id integer, "
 _RAW_ID = "order_id varchar, row_id varchar, "
 _PRODUCT = "product_name varchar, category varchar, sub_category varchar, "
@@ -384,10 +390,12 @@ _QUERIES: dict[str, tuple[str, str]] = {
     "normalize_columns": (_RAW_TEXT, "SELECT * FROM raw"),
     "select_known_columns": (_RAW_TEXT, "SELECT * FROM raw"),
     "parse_dates_drop_bad": (_DATED, "SELECT * FROM dated"),
-    "coerce_numeric": (_RAW_ID + "sales double, quantity double, discount double, profit double", "SELECT * FROM numbers"),
-    "impute_median": (_RAW_ID + "sales double, quantity double, discount double, profit double", "SELECT * FROM filled"),
+    "coerce_numeric": (_NUMBER_ID + "sales double, quantity double, discount double, profit double", "SELECT * FROM numbers"),
+    "impute_median": (_NUMBER_ID + "sales double, quantity double, discount double, profit double", "SELECT * FROM filled"),
     "fill_unknown": (
-        _RAW_ID + "ship_mode varchar, region varchar, city varchar, postal_code varchar", "SELECT * FROM clean"
+        _RAW_ID + "ship_mode varchar, region varchar, city varchar, postal_code varchar",
+        """SELECT order_id, coalesce(row_id, 'Unknown') AS row_id, coalesce(ship_mode, 'Unknown') AS ship_mode,
+            coalesce(region, 'Unknown') AS region, 'Unknown' AS city, 'Unknown' AS postal_code FROM dated""",
     ),
     "clean_sales": (_CLEAN, "SELECT * FROM clean"),
     "date_parts": (

@@ -15,6 +15,8 @@ LINE_COLUMNS = [
 ]
 DATE_COLUMNS = ["order_date", "ship_date"]
 MEASURES = ["sales", "quantity", "discount", "profit"]
+NUMERIC_IDS = ["row_id", "postal_code"]  # numbers in the source, so cleaned as numbers
+WHOLE_COLUMNS = ["row_id", "quantity"]
 
 # The columns that enrichment adds.
 FEATURE_COLUMNS = [
@@ -24,7 +26,9 @@ FEATURE_COLUMNS = [
 ]
 
 # Schemas as DDL, for readers.
-_CLEAN_TYPES = {**dict.fromkeys(DATE_COLUMNS, "date"), **dict.fromkeys(MEASURES, "double")}
+_CLEAN_TYPES = {
+    **dict.fromkeys(DATE_COLUMNS, "date"), **dict.fromkeys(MEASURES, "double"), **dict.fromkeys(WHOLE_COLUMNS, "int")
+}
 CLEAN_SCHEMA = ", ".join(f"{name} {_CLEAN_TYPES.get(name, 'string')}" for name in LINE_COLUMNS)
 _FEATURE_TYPES = {
     "order_dow": "string",

@@ -149,8 +149,8 @@ class TradeTables:
     def raw_lines(self) -> DataFrame:
         """Staging rows as text under raw headers, with defects chosen by key.
 
-        Repeated rows, two date formats, unreadable dates and sales, missing quantities, regions and
-        ship modes.
+        Repeated rows, two date formats, unreadable dates and sales, missing row ids, quantities,
+        regions and ship modes.
         """
         order, part, customer = (F.col(c).cast("bigint") for c in ("order_id", "product_id", "customer_id"))
         rows = self.staging()
@@ -161,6 +161,7 @@ class TradeTables:
             "sales": F.when(part % 97 == 0, "N/A").otherwise(F.col("sales").cast("string")),
             "quantity": F.when(part % 89 != 0, F.col("quantity").cast("string")),
             "region": F.when(customer % 83 != 0, F.col("region")),
+            "row_id": F.when(part % 79 != 0, F.col("row_id")),
             "ship_mode": F.when(order % 103 != 0, F.col("ship_mode")),
         }
         rows = rows.withColumns(defects)

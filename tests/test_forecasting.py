@@ -3,6 +3,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from orderlens.operators import forecasting as t
 from orderlens.plans.forecast import run_forecast
@@ -50,10 +51,22 @@ def test_months_never_seen_have_index_one(spark):
     assert [x.seasonal_index for x in ahead] == [1.0] * 6
 
 
-def test_no_forecast_below_zero(spark):
+def test_a_falling_series_keeps_a_small_forecast(spark):
     falling = series(spark, 24, level=1000.0, slope=-43.0)
     ahead = t.forecast_horizon(falling, ["key"]).where("ds > last_month").orderBy("ds").collect()
-    assert ahead[-1].trend < 0 and ahead[-1].yhat is None
+    assert len(ahead) == 6 and all(0 < x.trend and 0 < x.yhat for x in ahead)
+    assert ahead[-1].trend == pytest.approx(0.01 * falling.agg(F.avg("y")).first()[0])
+    assert t.forecast_total(t.forecast_table(t.forecast_horizon(falling, ["key"]))).first().total_forecast > 0
+
+
+def test_backtest_counts_what_it_missed(spark):
+    """A series that falls and then stays low: every month has a forecast and an error."""
+    rows_ = [("a", date(2015 + i // 12, i % 12 + 1, 1), max(5.0, 200.0 - 8 * i)) for i in range(48)]
+    points = t.backtest_points(spark.createDataFrame(rows_, "key string, ds date, y double"), ["key"])
+    whole = t.backtest_metrics(points, ["key"]).first()
+    assert whole.points == points.count() and whole.unforecast == 0 and whole.mae > 0
+    ahead = t.backtest_metrics(points).collect()
+    assert sum(x.points for x in ahead) == whole.points and all(x.mae >= 0 for x in ahead)
 
 
 def test_backtest_cutoffs(spark):

@@ -32,10 +32,11 @@ def test_global_ntile(values, rows):
     assert tiles.count() == rows and (not sizes or max(sizes) - min(sizes) <= 1)
 
 
-@pytest.mark.parametrize("hot_rows", [10, 500, 10**9])
-def test_grouped_row_number_is_the_same_on_both_paths(values, hot_rows):
+@pytest.mark.parametrize("spread_by", [None, "value"])
+def test_grouped_row_number(values, spread_by):
     with_null = values.withColumn("key", F.when(F.col("id") % 3 != 2, F.col("key")))
-    numbered = grouped_row_number(with_null, ["key"], ["value", "id"], "found", hot_rows=hot_rows, sample=1.0)
+    with_null = with_null.withColumn("value", F.when(F.col("id") % 11 != 0, F.col("value")))
+    numbered = grouped_row_number(with_null, ["key"], ["value", "id"], "found", spread_by)
     expected = F.row_number().over(Window.partitionBy("key").orderBy("value", "id"))
     assert numbered.columns == ["id", "key", "value", "found"]
     assert numbered.count() == 3000
