@@ -107,7 +107,7 @@ def read_raw_sales(src: TradeTables) -> DataFrame:
 
 
 def read_clean_sales(src: TradeTables) -> DataFrame:
-    return files.read_clean_sales(src.spark, _clean_file(src))
+    return _rounded(files.read_clean_sales(src.spark, _clean_file(src)))
 
 
 def write_clean_sales(src: TradeTables) -> DataFrame:
