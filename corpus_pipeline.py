@@ -14,7 +14,7 @@ from orderlens.llm import bpe, decontamination, jaccard, language
 from orderlens.llm.common import table
 from orderlens.session import shared_path
 
-MIN_LANGUAGE_SCORE = 0.3
+MIN_LANGUAGE_SCORE = 0.2  # below any verdict among up to five languages: short clean texts stay
 BPE_FILE = "word_bpe_49k.json"
 
 
