@@ -9,10 +9,10 @@ A document's set holds the hashes of its distinct ``SHINGLE``-word shingles (64
    most; pairs outside the size band are never formed. Of the others, a bitmap signature of each set bounds the
    overlap from above: a set bit that the other lacks is a shingle that the other lacks. So does the position in the
    prefix.
-3. First, each set of a tile is paired only with the smallest one that the bounds allow; these pairs are verified by
-   intersecting the sorted hash arrays, and linked sets contracted to components. Then all allowed pairs across
-   different components are verified, which completes the components. No pair inside a component is formed twice,
-   and none is dropped.
+3. In each of ``ROUNDS`` rounds every set of a tile proposes the allowed partner, of another component, whose
+   signature is nearest; these pairs are verified by intersecting the sorted hash arrays, and linked sets contracted
+   to components. Then all allowed pairs across different components are verified, which completes the components.
+   No pair inside a component is formed, and none across is dropped.
 
 Equal sets are one node throughout (64-bit hash of the set). Lists longer than ``TILE`` are split into tiles that meet
 pairwise.
@@ -38,8 +38,10 @@ from .components import connected_components
 
 SHINGLE = 5
 TILE = 2048
+ROUNDS = 2  # of best partners, before all pairs across components are verified
 SLOT_BITS = 18  # slots of the frequency sketch
-SIGNATURE_BITS = 1024
+SIGNATURE_BITS = 2048
+LIST = ["x", "y", "length"]  # what names a list
 
 
 def needed(nx, ny):
@@ -146,7 +148,11 @@ def document_sets(docs: DataFrame, levels: np.ndarray) -> DataFrame:
 
 
 def shared_lists(sets: DataFrame) -> DataFrame:
-    """(token, node, place, length) of every prefix shingle that at least two nodes have; length of its list."""
+    """(x, y, length, node, place): the nodes that share a prefix shingle, each such group once.
+
+    A list is named by two sums of its nodes' hashes, since near copies share many shingles and would form the same
+    list for each; ``place`` is a node's first place in the prefix among the shingles of the list.
+    """
     rows = sets.filter("prefix is not null").select("node", F.posexplode("prefix").alias("place", "token"))
     same = Window.partitionBy("token")
     return (
@@ -156,6 +162,10 @@ def shared_lists(sets: DataFrame) -> DataFrame:
         .groupBy("token", "node")
         .agg(F.min("place").alias("place"))
         .withColumn("length", F.count("*").over(same))
+        .withColumn("x", F.bit_xor("node").over(same))
+        .withColumn("y", F.bit_xor(F.xxhash64("node")).over(same))
+        .groupBy(*LIST, "node")
+        .agg(F.min("place").alias("place"))
     )
 
 
@@ -179,8 +189,11 @@ def _whole_lists(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Ta
         yield pa.Table.from_batches(held)
 
 
-def _allowed(rows: pa.Table, keys: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Row pairs (i, j), i before j, of the same tile that the bounds allow; rows are sorted by tile and size."""
+def _allowed(rows: pa.Table, keys: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row pairs (i, j), i before j, of the same tile that the bounds allow, with the bits in which they differ.
+
+    Rows are sorted by tile and size.
+    """
     columns = [rows.column(k).to_numpy() for k in range(keys)]
     change = np.zeros(rows.num_rows, bool)
     for c in columns:
@@ -204,90 +217,80 @@ def _allowed(rows: pa.Table, keys: int) -> Iterator[tuple[np.ndarray, np.ndarray
             lacks_i = np.bitwise_count(sign[j] & ~sign[i]).sum(1, dtype=np.int64)
             fits = np.minimum(n[i] - lacks_j, n[j] - lacks_i) >= least
             if fits.any():
-                yield i[fits], j[fits]
+                yield i[fits], j[fits], (lacks_i + lacks_j)[fits]
 
 
-def first_pairs(lists: DataFrame) -> DataFrame:
-    """(a, b): each set of a tile with the smallest one that the bounds allow, or else the next one.
+def candidate_pairs(lists: DataFrame, signatures: DataFrame, every: bool) -> DataFrame:
+    """(a, b): pairs of a list that the bounds allow and whose components differ; lists of one component are left out.
 
-    Every set that the bounds allow any partner in its tile is in a pair.
+    ``lists`` has a column component. With ``every`` all such pairs, or else, for each set of a tile, the one pair
+    whose signatures differ least.
     """
+    keys = [*LIST, "low_tile", "high_tile"]
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _whole_lists(batches, 2):
-            own = np.arange(rows.num_rows)
-            best, after = own.copy(), np.full(len(own), len(own))
-            for i, j in _allowed(rows, 2):
-                np.minimum.at(best, j, i)
-                np.minimum.at(after, i, j)
-            root = (best == own) & (after < len(own))  # pairs with the next one, lest it be in no pair
-            i, j = np.concatenate([best[best < own], own[root]]), np.concatenate([own[best < own], after[root]])
-            node = rows["node"].to_numpy()
-            pair = np.unique(np.sort(np.stack([node[i], node[j]]), axis=0), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
-
-    tiles = lists.select(
-        "token", F.pmod(F.xxhash64("node"), F.ceil(F.col("length") / TILE)).alias("tile"), "n", "node", "place", "signature"
-    )
-    return tiles.repartition("token", "tile").sortWithinPartitions("token", "tile", "n", "node").mapInArrow(
-        pairs, "a bigint, b bigint"
-    ).distinct()
-
-
-def crossing_pairs(lists: DataFrame) -> DataFrame:
-    """(a, b): all pairs of a list that the bounds allow and whose components differ; lists with one component go."""
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _whole_lists(batches, 3):
+        for rows in _whole_lists(batches, len(keys)):
             node, component, chunk = (rows[c].to_numpy() for c in ("node", "component", "chunk"))
             low, high = rows["low_tile"].to_numpy(), rows["high_tile"].to_numpy()
-            for i, j in _allowed(rows, 3):
+            best = np.full(rows.num_rows, np.iinfo(np.int64).max)  # difference, then row
+            for i, j, gap in _allowed(rows, len(keys)):
                 cross = (component[i] != component[j]) & ((low[i] == high[i]) | (chunk[i] != chunk[j]))
-                pair = np.sort(np.stack([node[i[cross]], node[j[cross]]]), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
-
-    same = Window.partitionBy("token")
+                i, j, gap = i[cross], j[cross], gap[cross]
+                if every:
+                    yield _pair_batch(node[i], node[j])
+                else:
+                    np.minimum.at(best, i, gap << 32 | j)
+                    np.minimum.at(best, j, gap << 32 | i)
+            i = np.flatnonzero(best < np.iinfo(np.int64).max)
+            yield _pair_batch(node[i], node[best[i] & (1 << 32) - 1])
+
+    same = Window.partitionBy(*LIST)
     chunks = F.ceil(F.col("length") / TILE)
     mixed = (
         lists.withColumn("low", F.min("component").over(same)).withColumn("high", F.max("component").over(same))
         .filter("low <> high")
+        .join(signatures, "node")
         .withColumn("chunk", F.pmod(F.xxhash64("node"), chunks))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), chunks - 1)))
         .select(
-            "token", F.least("chunk", "other").alias("low_tile"), F.greatest("chunk", "other").alias("high_tile"),
+            *LIST, F.least("chunk", "other").alias("low_tile"), F.greatest("chunk", "other").alias("high_tile"),
             "n", "node", "place", "signature", "component", "chunk",
         )
     )
-    keys = ["token", "low_tile", "high_tile"]
     return mixed.repartition(*keys).sortWithinPartitions(*keys, "n", "node").mapInArrow(pairs, "a bigint, b bigint").distinct()
 
 
-def set_arrays(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, shingles) of the rows of ``docs`` that ``wanted`` (row_key, node) names; sorted hashes as bytes."""
+def _pair_batch(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    """Distinct pairs, the smaller node first."""
+    pair = np.unique(np.sort(np.stack([x, y]), axis=0), axis=1) if len(x) else np.zeros((2, 0), np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
 
-    def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in text_slices(batches, "text"):
-            found = [s.astype("<u8").tobytes() for s in shingle_sets(data, offsets)]
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(found, pa.binary())], names=["node", "shingles"])
 
+def wanted_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, text) of the rows of ``docs`` that ``wanted`` (row_key, node) names, one row per node."""
     rows = docs.select(row_key("doc_id", "text").alias("row_key"), "text").join(wanted, "row_key")
-    return rows.select("node", "text").mapInArrow(arrays, "node bigint, shingles binary")
+    return rows.select("node", "text").dropDuplicates(["node"])
 
 
-def linked(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link, by intersecting their sorted arrays."""
+def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) that link, by intersecting the sorted shingle arrays of their texts (node, text).
+
+    Texts move, not arrays: they are several times smaller.
+    """
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for rows, data, offsets in text_slices(batches, "x"):
+            left, right = shingle_sets(data, offsets), []
+            for _, other, ends in text_slices(iter([rows.select(["y"])]), "y"):
+                right += shingle_sets(other, ends)
             good = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
+            for x, y in zip(left, right, strict=True):
                 both = np.sort(np.concatenate([x, y]), kind="stable")
                 good.append(int((both[1:] == both[:-1]).sum()) >= needed(len(x), len(y)))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            yield rows.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    left = arrays.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    right = arrays.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("x"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint")
 
 
@@ -308,27 +311,27 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     nodes = sets.filter("prefix is not null").groupBy("node").agg(
         F.min("row_key").alias("row_key"), F.first("n").alias("n"), F.first("signature").alias("signature")
     )
-    lists = stored(shared_lists(sets).join(nodes.drop("row_key"), "node"), "lists")
-    first = stored(first_pairs(lists), "first")
-    ends = first.select(F.col("a").alias("node")).union(first.select("b")).distinct()
-    wanted = nodes.select("node", "row_key").join(ends, "node")
-    arrays = stored(set_arrays(docs, wanted).dropDuplicates(["node"]), "arrays")
-    links = stored(linked(first, arrays), "links")
-    labels = connected_components(links)
-    known = (
-        lists.join(ends.withColumn("paired", F.lit(True)), "node", "left")
-        .filter(F.col("paired") | (F.col("length") > TILE))  # in a single tile, a set without a pair has no partner
-        .join(labels.withColumnRenamed("component", "joined"), "node", "left")
-        .withColumn("component", F.coalesce("joined", "node"))
-    )
-    crossing = stored(crossing_pairs(known).join(first, ["a", "b"], "left_anti"), "crossing")
-    new = crossing.select(F.col("a").alias("node")).union(crossing.select("b")).distinct().join(ends, "node", "left_anti")
-    if new.limit(1).count():
-        wanted = nodes.select("node", "row_key").join(new, "node")
-        arrays = arrays.unionByName(stored(set_arrays(docs, wanted).dropDuplicates(["node"]), "new_arrays"))
-    more = stored(linked(crossing, arrays), "more")
-    if more.limit(1).count():
-        labels = connected_components(links.unionByName(more))
+    signatures = nodes.select("node", "n", "signature")
+    lists = stored(shared_lists(sets), "lists")
+    known = lists.withColumn("component", F.col("node"))
+    labels = done = links = texts = None
+    for step in range(ROUNDS + 1):
+        pairs = candidate_pairs(known, signatures, every=step == ROUNDS)
+        if done is not None:
+            pairs = pairs.join(done, ["a", "b"], "left_anti")
+        pairs = stored(pairs, f"pairs{step}")
+        if texts is None:  # a set that the bounds allow any partner is in a pair of the first round
+            ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+            texts = stored(wanted_texts(docs, nodes.select("node", "row_key").join(ends, "node")), "texts")
+            lists = lists.join(texts.select("node"), "node", "left_semi")
+        found = stored(linked(pairs, texts), f"links{step}")
+        if labels is None or found.limit(1).count():
+            links = found if links is None else links.unionByName(found)
+            labels = connected_components(links)
+        done = pairs if done is None else done.unionByName(pairs)
+        known = lists.join(labels.withColumnRenamed("component", "joined"), "node", "left").withColumn(
+            "component", F.coalesce("joined", "node")
+        )
 
     smallest = sets.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = smallest.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
