@@ -207,16 +207,16 @@ def _word_answers(rows: pa.Table) -> pa.Table:
     words = [np.frombuffer(x.as_buffer(), _U) for x in rows["data"]]
     counts = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in rows["counts"]])
     _, inverse = np.unique(np.concatenate(words), return_inverse=True)
-    total = np.bincount(inverse, counts).astype(np.int64)
+    total = np.bincount(inverse, counts).astype(np.int64)  # sums below 2 ** 53 are exact
     known = total > 0
     rank = np.cumsum(known) - 1
     both = np.stack([total, np.where(known, rank, -1)], 1)
     cut = np.cumsum([0, *map(len, words)])
-    data = [both[inverse[a:b]].astype(np.int64 if total.max(initial=0) >= 1 << 31 else np.int32).tobytes() for a, b in zip(cut, cut[1:], strict=False)]
+    data = [both[inverse[a:b]].tobytes() for a, b in zip(cut, cut[1:], strict=False)]
     return _answers(rows, 0, data, int(total.sum()), int(known.sum()))
 
 
-def _known(answers: pa.Table, n_words: int) -> tuple[np.ndarray, np.ndarray, int, int]:
+def _known(answers: pa.Table) -> tuple[np.ndarray, np.ndarray, int, int]:
     """Counts and ids (-1 if unknown) of a block's words, N and V, from the word shards' answers."""
     rows = sorted(
         (shard, tokens, types, data)
@@ -226,10 +226,8 @@ def _known(answers: pa.Table, n_words: int) -> tuple[np.ndarray, np.ndarray, int
         if kind == 0
     )
     counts, ids, tokens, types = [], [], 0, 0
-    sizes = [len(r[3]) for r in rows]
-    width = np.int64 if sum(sizes) == 16 * n_words and n_words else np.int32
     for _, n, v, data in rows:
-        both = np.frombuffer(data, width).reshape(-1, 2).astype(np.int64)
+        both = np.frombuffer(data, np.int64).reshape(-1, 2)
         counts.append(both[:, 0])
         ids.append(np.where(both[:, 1] >= 0, both[:, 1] + types, -1))
         tokens, types = tokens + n, types + v
@@ -241,7 +239,7 @@ def _pair_requests(shards: int):
         if not rows.num_rows:
             return pa.table({c: [] for c in ("block", "shard", "total", "data", "counts", "contexts")}).cast(_REQUEST_TYPE)
         block = Block(rows)
-        counts, ids, _, types = _known(answers, len(block.words))
+        counts, ids, _, types = _known(answers)
         keys, shard, own, _ = block.pairs(ids, types, shards)
         cut = np.searchsorted(shard, np.arange(shards + 1))
         known = ids >= 0
@@ -256,7 +254,7 @@ def _pair_requests(shards: int):
             count = np.append(sorted_counts, ends)[np.where(context == types, len(sorted_ids), at)]
             data.append(EliasFano.of(own_keys, (types + 1) * types).to_bytes())
             numbers.append(own[a:b].tobytes())
-            contexts.append(count.astype(np.uint32).tobytes())
+            contexts.append(count.astype(np.int64).tobytes())
         return pa.table({
             "block": pa.array([rows["block"][0].as_py()] * shards, pa.int32()),
             "shard": pa.array(range(shards), pa.int32()), "total": pa.array([types] * shards, pa.int64()), "data": pa.array(data, pa.binary()),
@@ -280,7 +278,7 @@ def _pair_answers(rows: pa.Table) -> pa.Table:
     keys, inverse = np.unique(np.concatenate(asked), return_inverse=True)
     total = np.bincount(inverse, counts)
     context_count = np.concatenate([
-        np.repeat(np.frombuffer(c.as_buffer(), np.uint32), np.unique(k // _U(max(types, 1)), return_counts=True)[1])
+        np.repeat(np.frombuffer(c.as_buffer(), np.int64), np.unique(k // _U(max(types, 1)), return_counts=True)[1])
         for k, c in zip(asked, rows["contexts"], strict=True)
     ])
     of_key = np.zeros(len(keys))
@@ -302,7 +300,7 @@ def _scores(shards: int):
         if not rows.num_rows:
             return pa.table({c: [] for c in _RESULT_TYPE.names}).cast(_RESULT_TYPE)
         block = Block(rows)
-        counts, ids, tokens, types = _known(answers, len(block.words))
+        counts, ids, tokens, types = _known(answers)
         _, _, _, pair = block.pairs(ids, types, shards)
         replies = sorted(
             (s, d, c) for k, s, d, c in zip(*(answers[n].to_pylist() for n in ("kind", "shard", "data", "classes")), strict=True) if k == 1

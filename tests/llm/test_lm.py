@@ -2,6 +2,8 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from llm_cases import ROWS, crc, documents, frame, spaced
 
@@ -57,6 +59,36 @@ def test_copies_gain_and_held_out_texts_do_not_lose(spark):
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
 
 
+def test_counts_above_32_bits_in_one_word_shard_only():
+    """A shard with a hot word beside one without: counts and ids of both stay whole."""
+    hot, many, rare = np.array([5, 9], np.uint64), (1 << 32) - 1, np.array([1 << 63, (1 << 63) + 7], np.uint64)
+
+    def answer(shard, words, blocks):
+        n = len(blocks)
+        return lm._word_answers(pa.table({
+            "block": pa.array(range(n), pa.int32()), "shard": pa.array([shard] * n, pa.int32()), "total": pa.array([0] * n, pa.int64()),
+            "data": pa.array([words.tobytes()] * n, pa.binary()),
+            "counts": pa.array([np.array(c, np.uint32).tobytes() for c in blocks], pa.binary()),
+            "contexts": pa.array([None] * n, pa.binary()),
+        }))
+
+    both = pa.concat_tables([answer(0, hot, [[many, 1], [many, 0]]), answer(1, rare, [[3, 0], [1, 0]])])
+    counts, ids, tokens, types = lm._known(both.filter(pc.equal(both["block"], 0)))
+    assert (counts.tolist(), ids.tolist(), tokens, types) == ([2 * many, 1, 4, 0], [0, 1, 2, -1], 2 * many + 5, 3)
+
+
+def test_context_counts_above_32_bits_reach_the_pair_shards():
+    count = 5 << 32
+    keys = EliasFano.of(np.array([1, 2], np.uint64), 12)
+    row = {
+        "block": pa.array([0], pa.int32()), "shard": pa.array([0], pa.int32()), "total": pa.array([3], pa.int64()),
+        "data": pa.array([keys.to_bytes()], pa.binary()), "counts": pa.array([np.array([1 << 31, 1 << 31], np.uint32).tobytes()], pa.binary()),
+        "contexts": pa.array([np.array([count], np.int64).tobytes()], pa.binary()),
+    }
+    codes = np.frombuffer(lm._pair_answers(pa.table(row))["data"][0].as_py(), np.uint8)
+    assert np.allclose(lm.dequantised(codes), (1 << 31) / count, rtol=0.05)
+
+
 def test_nothing_to_learn_from(spark):
     docs = [(d, t) for d, t in documents() if crc(d) % 7 == 2][:4]
     rows = lm.score_documents(frame(spark, docs), 1000).collect()
