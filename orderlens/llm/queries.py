@@ -42,7 +42,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    return jaccard.jaccard_classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "n_links", "component_id")
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from llm_cases import ROWS, documents, frame, shingle_components
+from llm_cases import ROWS, documents, frame, shingle_components, spaced
 
 from orderlens.llm import components, jaccard
 
@@ -30,6 +30,29 @@ def test_equals_brute_force(spark, monkeypatch, tile):
     assert sorted((tuple(r) for r in got.collect()), key=str) == shingle_components(docs)
 
 
+def brute_links(docs):
+    """(doc_id, number of other rows that link) of every row."""
+    sets = []
+    for _, text in docs:
+        w = spaced(text)
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    links = [sum(100 * len(s & t) >= 80 * len(s | t) for j, t in enumerate(sets) if i != j) if s else 0 for i, s in enumerate(sets)]
+    return sorted(((d, n) for (d, _), n in zip(docs, links, strict=True)), key=str)
+
+
+@pytest.mark.parametrize(("tile", "dense"), [(jaccard.TILE, jaccard.DENSE), (3, jaccard.DENSE), (5, 1)])
+def test_counts_every_link(spark, monkeypatch, tile, dense):
+    """Also the links inside a component: three near copies of each other have two each."""
+    monkeypatch.setattr(jaccard, "TILE", tile)
+    monkeypatch.setattr(jaccard, "DENSE", dense)
+    copies = near_copies()
+    long = [(20_000 + i, " ".join(f"l{j}" if j % 300 or i % 4 else f"m{i}x{j}" for j in range(20 * i, 950 + 60 * i))) for i in range(12)]
+    docs = [*documents()[:200], *copies, *copies[20:24], *long, (None, copies[3][1]), *ROWS]
+    got = sorted((tuple(r) for r in jaccard.jaccard_classes(frame(spark, docs)).select("doc_id", "n_links").collect()), key=str)
+    assert got == brute_links(docs)
+    assert max(n for _, n in got) > 4
+
+
 def test_one_of_each_keeps_rows_and_columns(spark):
     docs = [*near_copies(), *ROWS]
     df = frame(spark, docs, ["row_key", "component"])
