@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, jaccard, language, licenses, lm, sharding, topk, urls
+from . import bpe, chat, decontamination, jaccard, language, licenses, lm, repair, sharding, topk, urls
 from .common import table
 
 BPE_FILE = "word_bpe_49k.json"
@@ -57,9 +57,16 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_report(repair.damage(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op1_url_filters, op2_exact_topk, op3_lm_scoring, op4_chat_formatting, op5_benchmark_decontamination, op6_language_id, op7_ngram_jaccard_join, op8_sharding, op9_bpe, op10_license_scans)
+    for query in (
+        op1_url_filters, op2_exact_topk, op3_lm_scoring, op4_chat_formatting, op5_benchmark_decontamination, op6_language_id,
+        op7_ngram_jaccard_join, op8_sharding, op9_bpe, op10_license_scans, op11_conversation_repair,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {"op2_exact_topk": topk.ORACLE, "op4_chat_formatting": chat.ORACLE}
