@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, jaccard, language, licenses, lm, repair, sharding, topk, urls
+from . import bpe, chat, crosspolytope, decontamination, jaccard, language, licenses, lm, repair, sharding, strata, topk, urls
 from .common import table
 
 BPE_FILE = "word_bpe_49k.json"
@@ -61,12 +61,23 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair_report(repair.damage(table(spark, sf_dir, "conversations")))
 
 
+def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return strata.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)
+
+
+def op13_approximate_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosspolytope.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_url_filters, op2_exact_topk, op3_lm_scoring, op4_chat_formatting, op5_benchmark_decontamination, op6_language_id,
-        op7_ngram_jaccard_join, op8_sharding, op9_bpe, op10_license_scans, op11_conversation_repair,
+        op7_ngram_jaccard_join, op8_sharding, op9_bpe, op10_license_scans, op11_conversation_repair, op12_ranked_lexical_search,
+        op13_approximate_nearest,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_exact_topk": topk.ORACLE, "op4_chat_formatting": chat.ORACLE}
+ORACLE_SQL: dict[str, str] = {
+    "op2_exact_topk": topk.ORACLE, "op4_chat_formatting": chat.ORACLE, "op12_ranked_lexical_search": strata.ORACLE,
+}
