@@ -17,7 +17,7 @@ class EliasFano:
 
     def __init__(self, n: int, low: int, lows: np.ndarray, highs: np.ndarray):
         self.n, self.low, self.lows, self.highs = n, low, lows, highs
-        self.zeros: np.ndarray | None = None
+        self.directory: list[np.ndarray | None] = [None, None]  # of zeros and ones, one entry per block of words
 
     @classmethod
     def of(cls, values: np.ndarray, universe: int) -> EliasFano:
@@ -61,21 +61,25 @@ class EliasFano:
         high = np.flatnonzero(np.unpackbits(self.highs.view(np.uint8), bitorder="little"))[: self.n] - np.arange(self.n)
         return (high.astype(_U) << _U(self.low)) | self._low(np.arange(self.n))
 
-    def _select_zero(self, k: np.ndarray) -> np.ndarray:
-        """Bit positions of the k-th zeros of the high bits, the length of the bits for zeros beyond."""
-        if self.zeros is None:
+    def _select(self, k: np.ndarray, ones: bool) -> np.ndarray:
+        """Bit positions of the k-th ones or zeros of the high bits, the length of the bits for those beyond."""
+        if self.directory[ones] is None:
             padded = np.zeros(-(-len(self.highs) // _BLOCK) * _BLOCK, np.int64)
-            padded[: len(self.highs)] = 64 - np.bitwise_count(self.highs).astype(np.int64)
-            self.zeros = np.concatenate([[0], np.cumsum(padded.reshape(-1, _BLOCK).sum(1))])
-        inside = k < self.zeros[-1]
+            count = np.bitwise_count(self.highs).astype(np.int64)
+            padded[: len(self.highs)] = count if ones else 64 - count
+            self.directory[ones] = np.concatenate([[0], np.cumsum(padded.reshape(-1, _BLOCK).sum(1))])
+        directory, flip = self.directory[ones], _U(0) if ones else ~_U(0)
+        inside = k < directory[-1]
         k = np.where(inside, k, 0)
-        block = np.searchsorted(self.zeros, k, "right") - 1
-        left, word = k - self.zeros[block], block * _BLOCK
+        block = np.searchsorted(directory, k, "right") - 1
+        left, word = k - directory[block], block * _BLOCK
         for _ in range(_BLOCK - 1):
-            here = 64 - np.bitwise_count(self.highs[np.minimum(word, len(self.highs) - 1)]).astype(np.int64)
+            here = np.bitwise_count(self.highs[np.minimum(word, len(self.highs) - 1)] ^ flip).astype(np.int64)
             on = (left >= here) & (word < len(self.highs) - 1)
+            if not on.any():
+                break
             left, word = np.where(on, left - here, left), np.where(on, word + 1, word)
-        bits, shift = ~self.highs[word], np.zeros(len(k), _U)
+        bits, shift = self.highs[word] ^ flip, np.zeros(len(k), _U)
         for _ in range(7):
             here = np.bitwise_count((bits >> shift) & _U(255)).astype(np.int64)
             on = left >= here
@@ -84,14 +88,21 @@ class EliasFano:
         found = word * 64 + shift.astype(np.int64) + _SELECT[byte, np.minimum(left, 7)]
         return np.where(inside, found, len(self.highs) * 64)
 
+    def access(self, i: np.ndarray) -> np.ndarray:
+        """The values at places ``i``, read one by one."""
+        i = np.asarray(i, np.int64)
+        if not len(i):
+            return np.zeros(0, _U)
+        return ((self._select(i, True) - i).astype(_U) << _U(self.low)) | self._low(i)
+
     def successor(self, x: np.ndarray) -> np.ndarray:
         """For each x the place of the first value >= x, n if there is none."""
         x = x.astype(_U)
         if not self.n or not len(x):
             return np.full(len(x), self.n, np.int64)
         h = (x >> _U(self.low)).astype(np.int64)
-        begin = np.where(h > 0, self._select_zero(np.maximum(h - 1, 0)) - np.maximum(h - 1, 0), 0)
-        end = self._select_zero(h) - h
+        begin = np.where(h > 0, self._select(np.maximum(h - 1, 0), False) - np.maximum(h - 1, 0), 0)
+        end = self._select(h, False) - h
         begin, end = np.minimum(begin, self.n), np.minimum(np.maximum(end, 0), self.n)
         want = x & _U((1 << self.low) - 1)
         while True:
