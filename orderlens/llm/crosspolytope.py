@@ -9,10 +9,10 @@ vectors at any size. A query probes the buckets whose axes it is nearest to, in
 How many buckets it probes is fitted: ``SAMPLE`` queries, chosen by a hash of their id, are answered exactly by one pass
 over all rows, and the fewest probes that find ``RECALL`` of these answers are taken for all. Every row is indexed.
 
-A table is stored in order of its buckets, in blocks of about ``BLOCK`` vectors, so a bucket of any size spreads over
-blocks. Blocks and the queries that probe one of their buckets meet in cells of bounded size; candidates get their
-exact product, in double precision, and each cell returns its best k. Queries that found fewer than k candidates though
-there are more probe every bucket in a second round.
+Buckets are put together into blocks of about ``BLOCK`` vectors. A block that holds more, as one with a hot bucket does, is
+split by vectors, one that many queries visit by queries too; a block's vectors and the queries that probe one of its
+buckets meet in cells of bounded size. Candidates get their exact product, in double precision, and each cell returns its
+best k. Queries that found fewer than k candidates though there are more probe every bucket in a second round.
 
 Defined cases: vectors that are null, zero, hold a null or non-finite component, or have no id take no part; repeated
 rows count once and rows that share the query's id are its own; an id with unlike vectors counts by its best product;
@@ -238,47 +238,67 @@ def fitted_probes(queries: DataFrame, candidates: DataFrame, hasher: Hasher, k:
     return int(depths[min(len(depths) - 1, int(np.ceil(recall * len(depths))) - 1)]) + 1
 
 
-def _indexed(candidates: DataFrame, hasher: Hasher, n: int, block: int) -> DataFrame:
-    """(block, code, vec_id, v) of all candidates in all tables, stored in order of (table, code)."""
-    width, tables = hasher.width, hasher.tables
+def _blocks(code: np.ndarray, hasher: Hasher, blocks: int) -> np.ndarray:
+    """The block of each bucket: equal ranges of the bucket numbers of all tables."""
+    total = hasher.buckets * hasher.tables
+    return code // -(-total // min(blocks, total))
+
+
+def _indexed(candidates: DataFrame, hasher: Hasher, blocks: int) -> DataFrame:
+    """(block, code, vec_id, v) of all candidates in all tables, stored."""
+    width = hasher.width
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _matrix(batch.column(1), width)
-            for t in range(tables):
+            for t in range(hasher.tables):
                 code = hasher.codes(x, t) + t * hasher.buckets
-                yield pa.RecordBatch.from_arrays([pa.array(code), *batch.columns], names=["code", "vec_id", "v"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(_blocks(code, hasher, blocks)), pa.array(code), *batch.columns], names=["block", "code", "vec_id", "v"]
+                )
 
     kind = candidates.schema["v"].dataType.simpleString()
-    coded = candidates.mapInArrow(hashed, f"code bigint, vec_id bigint, v {kind}")
-    placed = coded.repartitionByRange(max(1, -(-n * tables // block)), "code", F.xxhash64("vec_id"))
-    return stored(placed.select(F.spark_partition_id().alias("block"), "code", "vec_id", "v"), "buckets")
+    return stored(candidates.mapInArrow(hashed, f"block bigint, code bigint, vec_id bigint, v {kind}"), "buckets")
 
 
-def _searched(queries: DataFrame, index: DataFrame, hasher: Hasher, probes: int, k: int, query_block: int) -> DataFrame:
-    """``FOUND``: the best k of every cell for ``queries`` (query_id, key, q), which probe ``probes`` buckets a table."""
-    width, tables = hasher.width, hasher.tables
+def _visits(queries: DataFrame, hasher: Hasher, probes: int, blocks: int) -> DataFrame:
+    """(block, query_id, codes, q): the buckets that each of ``queries`` (query_id, q) probes, by block."""
+    width, kind = hasher.width, queries.schema["q"].dataType.simpleString()
 
-    def probing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column(2), width)
-            for t in range(tables):
-                codes = hasher.probes(x, t, probes) + t * hasher.buckets
-                rows = pa.ListArray.from_arrays(np.arange(0, codes.size + 1, codes.shape[1], dtype=np.int32), pa.array(codes.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), rows], names=["query_id", "key", "codes"])
-
-    asked = queries.mapInArrow(probing, "query_id bigint, key bigint, codes array<bigint>").select("query_id", "key", F.explode("codes").alias("code"))
-    places = index.groupBy("code", "block").agg(F.count("*").alias("n")).drop("n")
-    visits = stored(
-        asked.join(places, "code").groupBy("query_id", "key", "block").agg(F.collect_list("code").alias("codes")), "visits"
-    )
-    parts = visits.groupBy("block").agg((F.floor((F.count("*") - 1) / query_block) + 1).cast("int").alias("parts"))
-    left = index.join(parts, "block").select(
-        "block", "code", "vec_id", "v", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+            x = _matrix(batch.column(1), width)
+            for t in range(hasher.tables):
+                codes = np.sort(hasher.probes(x, t, probes) + t * hasher.buckets, axis=1)
+                who, codes = np.repeat(np.arange(len(x)), codes.shape[1]), codes.ravel()
+                block = _blocks(codes, hasher, blocks)
+                new = np.flatnonzero(np.concatenate([[True], (block[1:] != block[:-1]) | (who[1:] != who[:-1])]))
+                lists = pa.ListArray.from_arrays(np.append(new, len(codes)).astype(np.int32), pa.array(codes))
+                owner = pa.array(who[new])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(block[new]), batch.column(0).take(owner), lists, batch.column(1).take(owner)],
+                    names=["block", "query_id", "codes", "q"],
+                )
+
+    return queries.mapInArrow(run, f"block bigint, query_id bigint, codes array<bigint>, q {kind}")
+
+
+def _searched(queries: DataFrame, index: DataFrame, hasher: Hasher, probes: int, k: int, blocks: int, block: int, query_block: int) -> DataFrame:
+    """``FOUND``: the best k of every cell for ``queries`` (query_id, q), which probe ``probes`` buckets a table."""
+    width = hasher.width
+    visits = _visits(queries, hasher, probes, blocks)
+
+    def parts(rows: DataFrame, size: int, name: str) -> DataFrame:
+        return rows.groupBy("block").agg((F.floor((F.count("*") - 1) / size) + 1).cast("int").alias(name))
+
+    cells = stored(parts(index, block, "parts").join(parts(visits, query_block, "query_parts"), "block"), "cells")
+    left = index.join(cells, "block").select(
+        "block", "code", "vec_id", "v", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int").alias("part"),
+        F.explode(F.sequence(F.lit(0), F.col("query_parts") - 1)).alias("query_part"),
     )
-    right = (
-        visits.join(parts, "block").join(queries, ["query_id", "key"])
-        .select("block", "query_id", "q", "codes", F.pmod(F.xxhash64("query_id", "key"), F.col("parts")).cast("int").alias("part"))
+    right = visits.join(cells, "block").select(
+        "block", "query_id", "q", "codes", F.pmod(F.xxhash64("query_id", "q"), F.col("query_parts")).cast("int").alias("query_part"),
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
     )
 
     def cell(vectors: pa.Table, asking: pa.Table) -> pa.Table:
@@ -295,14 +315,14 @@ def _searched(queries: DataFrame, index: DataFrame, hasher: Hasher, probes: int,
             order = np.argsort(wanted, kind="stable")
             wanted, owner = wanted[order], owner[order]
             length = float(np.sqrt((v * v).sum(1)).max())
-            for c in np.unique(wanted):
+            for c in np.unique(code):
                 a, b = np.searchsorted(code, [c, c + 1])
                 first, last = np.searchsorted(wanted, [c, c + 1])
                 best.add(owner[first:last], v[a:b], ids[a:b], length)
             who, found, score = best.best()
         return pa.table({"query_id": names[who], "vec_id": found, "score": score})
 
-    keys = ["block", "part"]
+    keys = ["block", "part", "query_part"]
     return left.groupBy(keys).cogroup(right.groupBy(keys)).applyInArrow(cell, FOUND)
 
 
@@ -342,14 +362,15 @@ def nearest(
         probes = hasher.buckets
     elif probes is None:
         probes = fitted_probes(queries, candidates, hasher, k, recall)
-    index = _indexed(candidates, hasher, n, block)
-    keyed = queries.select(F.col("vec_id").alias("query_id"), F.xxhash64("v").alias("key"), F.col("v").alias("q"))
-    found = stored(_ranked(_searched(keyed, index, hasher, probes, k, query_block), k), "nearest")
+    blocks = max(1, -(-n * tables // block))
+    index = _indexed(candidates, hasher, blocks)
+    asking = queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    found = stored(_ranked(_searched(asking, index, hasher, probes, k, blocks, block, query_block), k), "nearest")
     if probes >= hasher.buckets:
         return found
     enough = found.groupBy("query_id").count().filter(F.col("count") >= k).select("query_id")
-    short = keyed.join(enough, "query_id", "left_anti")
+    short = asking.join(enough, "query_id", "left_anti")
     if short.isEmpty():
         return found
-    rest = _ranked(_searched(short, index, hasher, hasher.buckets, k, query_block), k)
+    rest = _ranked(_searched(short, index, hasher, hasher.buckets, k, blocks, block, query_block), k)
     return found.join(enough, "query_id", "left_semi").unionByName(rest)

@@ -43,7 +43,7 @@ from .common import SPACED, Words, mix, text_slices
 from .eliasfano import EliasFano
 
 ORDER = 2
-PRIOR = {2: 64.0, 3: 2.0}  # what the lower order weighs, in occurrences of the context
+PRIOR = {2: 2048.0, 3: 8.0}  # what the lower order weighs, in occurrences of the context
 BLOCK_BYTES = 8 << 20
 WORD_SHARD_BLOCKS = 4  # blocks whose words fill a word shard
 GRAM_SHARD_BLOCKS = 2  # blocks whose n-grams fill a shard
