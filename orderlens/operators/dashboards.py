@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,8 +22,8 @@ def kpi_cards(df: DataFrame, year: int | None = None, start: date | None = None,
     """One row: revenue, profit, margin, orders, and growth on the same dates a year earlier.
 
     The period is ``year``, or else everything from ``start`` to ``end``, by default the standard calendar widened to
-    the years of the data; its dates a year earlier are those that end one year before it does. Without ``year`` and a
-    full range, the first and last order date are read when called.
+    the years of the data; its dates a year earlier run between both ends a year back, to the month's last day if it ends
+    with a month. Without ``year`` and a full range, the first and last order date are read when called.
     """
     if year:
         start, end = date(year, 1, 1), date(year, 12, 31)
@@ -33,7 +33,7 @@ def kpi_cards(df: DataFrame, year: int | None = None, start: date | None = None,
             first, last = df.agg(F.min("order_date"), F.max("order_date")).first()
             start = start or min(CALENDAR_START, date(first.year, 1, 1) if first else CALENDAR_START)
             end = end or max(CALENDAR_END, date(last.year, 12, 31) if last else CALENDAR_END)
-        before = (start, _year_earlier(end))
+        before = (_year_earlier(start), _year_earlier(end, last=True))
     current = F.col("order_date").between(start, end)
     per_order = (
         df.withColumn("_current", current)
@@ -56,9 +56,12 @@ def kpi_cards(df: DataFrame, year: int | None = None, start: date | None = None,
     )
 
 
-def _year_earlier(day: date) -> date:
-    """The same day of the year before, 28 February for a leap day."""
-    return date(day.year - 1, day.month, 28 if (day.month, day.day) == (2, 29) else day.day)
+def _year_earlier(day: date, last: bool = False) -> date:
+    """The same day of the year before, 28 February for a leap day; the ``last`` day of February stays the last."""
+    if day.month == 2 and day.day >= 28:
+        ends = last and (day + timedelta(days=1)).month == 3
+        return date(day.year - 1, 3, 1) - timedelta(days=1) if ends else date(day.year - 1, 2, 28)
+    return date(day.year - 1, day.month, day.day)
 
 
 def trend_line(df: DataFrame) -> DataFrame:

@@ -315,6 +315,33 @@ _MONTH_LY = """
     FROM {source} GROUP BY ALL"""
 
 
+_LY_TYPES = "total_revenue double, revenue_ly double, yoy_growth_pct double"
+
+
+def _last_year(keys: str, source: str, now: tuple[str, str], ago: tuple[str, str], where: str = "true") -> str:
+    """Sales between two pairs of days per group, and the growth."""
+    spans = [f"order_date BETWEEN DATE '{a}' AND DATE '{b}'" for a, b in (now, ago)]
+    return f"""SELECT * EXCLUDE (c, b), c / 1e2 AS total_revenue, b / 1e2 AS revenue_ly,
+            (coalesce(c, 0) / 1e2 - b / 1e2) / nullif(abs(b / 1e2), 0) * 100 AS yoy_growth_pct
+        FROM (SELECT {keys}, sum(sales_c) FILTER ({spans[0]}) AS c, sum(sales_c) FILTER ({spans[1]}) AS b
+            FROM {source} WHERE {where} AND (({spans[0]}) OR ({spans[1]})) GROUP BY ALL)"""
+
+
+def _dense_to_date(key: str, source: str, last: str, where: str = "true") -> str:
+    """To-date figures of every day from each group's first sale on."""
+    sums = ", ".join(
+        f"sum({c}) OVER (PARTITION BY {key}, date_trunc('{p}', order_date) ORDER BY order_date) / 1e2 AS {name}"
+        for name, c, p in (("revenue_mtd", "s", "month"), ("revenue_qtd", "s", "quarter"), ("revenue_ytd", "s", "year"), ("profit_ytd", "p", "year"))
+    )
+    return f"""WITH d AS (SELECT {key}, order_date, sum(sales_c) AS s, sum(profit_c) AS p FROM {source} WHERE {where} GROUP BY ALL),
+        g AS (SELECT {key}, cast(unnest(generate_series(min(order_date), {last}, INTERVAL 1 DAY)) AS date) AS order_date FROM d GROUP BY 1)
+        SELECT {key}, order_date, {sums}
+        FROM (SELECT {key}, order_date, coalesce(s, 0) AS s, coalesce(p, 0) AS p FROM g LEFT JOIN d USING ({key}, order_date))"""
+
+
+_TO_DATE_TYPES = "order_date date, revenue_mtd double, revenue_qtd double, revenue_ytd double, profit_ytd double"
+
+
 def _unique(rule: str, key: str, source: str) -> str:
     return (
         f"SELECT '{rule}' AS rule, count(*) AS violations, count(*) = 0 AS passed "
@@ -742,6 +769,52 @@ _QUERIES: dict[str, tuple[str, str]] = {
             AND segment IN ('BUILDING', 'MACHINERY') AND region IN ('ASIA', 'EUROPE')
             AND category IN ('ECONOMY', 'PROMO') GROUP BY ALL""",
     ),
+    "revenue_ly_year_slicer": (
+        "year integer, month_num integer, total_revenue double, revenue_ly double",
+        "SELECT * EXCLUDE (yoy_growth_pct) FROM ("
+        + _last_year("2020 AS year, cast(month(order_date) AS integer) AS month_num", "sold", ("2020-01-01", "2020-12-31"), ("2019-01-01", "2019-12-31"))
+        + ")",
+    ),
+    "yoy_growth_region_slicer": (
+        "region varchar, year integer, quarter integer, " + _LY_TYPES,
+        _last_year("region, 2020 AS year, cast(quarter(order_date) AS integer) AS quarter", "sold_to", ("2020-01-01", "2020-12-31"),
+                   ("2019-01-01", "2019-12-31"), "region IN ('ASIA', 'EUROPE')"),
+    ),
+    "yoy_growth_leap_range": (
+        "segment varchar, year integer, month_num integer, " + _LY_TYPES,
+        _last_year("segment, 2020 AS year, cast(month(order_date) AS integer) AS month_num", "sold_to", ("2020-02-10", "2020-03-20"),
+                   ("2019-02-10", "2019-03-20")),
+    ),
+    "yoy_growth_february": (
+        "category varchar, " + _LY_TYPES,
+        _last_year("category", "sold_all", ("2021-01-01", "2021-02-28"), ("2020-01-01", "2020-02-29"), "region IN ('ASIA', 'EUROPE')"),
+    ),
+    "yoy_growth_every_day": (
+        "order_date date, " + _LY_TYPES,
+        """WITH d AS (SELECT order_date, sum(sales_c) AS c FROM sold GROUP BY 1),
+        ago AS (SELECT day, cast(day - INTERVAL 1 YEAR AS date) AS before FROM days
+            UNION SELECT day, last_day(cast(day - INTERVAL 1 YEAR AS date)) FROM days WHERE day = last_day(day)),
+        b AS (SELECT day, sum(c) AS b FROM ago JOIN d ON before = order_date GROUP BY 1)
+        SELECT day AS order_date, c / 1e2 AS total_revenue, b / 1e2 AS revenue_ly,
+            (coalesce(c, 0) / 1e2 - b / 1e2) / nullif(abs(b / 1e2), 0) * 100 AS yoy_growth_pct
+        FROM days LEFT JOIN d ON day = order_date LEFT JOIN b USING (day) WHERE c IS NOT NULL OR b IS NOT NULL""",
+    ),
+    "to_date_by_region": ("region varchar, " + _TO_DATE_TYPES, _dense_to_date("region", "sold_to", "(SELECT max(order_date) FROM d)")),
+    "to_date_by_category": ("category varchar, " + _TO_DATE_TYPES, _dense_to_date("category", "sold_goods", "(SELECT max(order_date) FROM d)")),
+    "to_date_sliced": (
+        "segment varchar, " + _TO_DATE_TYPES,
+        "SELECT * FROM ("
+        + _dense_to_date("segment", "sold_to", "DATE '2020-03-20'", "order_date BETWEEN DATE '2020-01-01' AND DATE '2020-03-20'")
+        + ") WHERE order_date >= DATE '2020-02-10'",
+    ),
+    "kpi_cards_range": (
+        "total_revenue double, total_profit double, profit_margin double, total_orders bigint, yoy_growth_pct double",
+        f"""SELECT s / 1e2 AS total_revenue, p / 1e2 AS total_profit, {pct("p", "s")} AS profit_margin,
+            n AS total_orders, {pct("s - ly", "ly")} AS yoy_growth_pct
+        FROM (SELECT sum(sales_c) AS s, sum(profit_c) AS p, {_NDV} AS n FROM sold
+                WHERE order_date BETWEEN DATE '2020-03-05' AND DATE '2021-02-28'),
+            (SELECT sum(sales_c) AS ly FROM sold WHERE order_date BETWEEN DATE '2019-03-05' AND DATE '2020-02-29')""",
+    ),
     "kpi_cards": (
         "total_revenue double, total_profit double, profit_margin double, total_orders bigint, yoy_growth_pct double",
         f"""SELECT s / 1e2 AS total_revenue, p / 1e2 AS total_profit, {pct("p", "s")} AS profit_margin,

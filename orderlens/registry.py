@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from .functions.calendar import date_key, day_range, warehouse_calendar
 from .operators import business as q
 from .operators import cleaning as c
+from .operators import context as x
 from .operators import dashboards as d
 from .operators import features as f
 from .operators import forecasting as t
@@ -41,7 +42,7 @@ Query = Callable[[TradeTables], DataFrame]
 def plain(df: DataFrame) -> DataFrame:
     """DECIMAL columns as DOUBLE, for comparison with other engines."""
     return df.select(
-        *[F.col(x.name).cast("double") if isinstance(x.dataType, T.DecimalType) else F.col(x.name) for x in df.schema]
+        *[F.col(field.name).cast("double") if isinstance(field.dataType, T.DecimalType) else F.col(field.name) for field in df.schema]
     )
 
 
@@ -233,6 +234,14 @@ def apply_slicers(src: TradeTables) -> DataFrame:
     return m.measure_table(lines, ["region", "segment", "category"], ["total_revenue", "total_orders", "total_units"])
 
 
+#: A month in the middle of two, over a leap day; and a year of two regions.
+LEAP_RANGE = x.Slicers(dates=(date(2020, 2, 10), date(2020, 3, 20)))
+FEBRUARY = x.Slicers(years=(2021,), dates=(date(2020, 2, 1), date(2021, 2, 28)), regions=("ASIA", "EUROPE"))
+TWO_REGIONS = x.Slicers(years=(SLICED_YEAR,), regions=("ASIA", "EUROPE"))
+
+_EVERY_LINE = lambda src: src.sales_lines(customers=True, products=True)
+
+
 # -- forecasts ----------------------------------------------------------------------------
 
 
@@ -247,8 +256,8 @@ def _forecast_table(src: TradeTables) -> DataFrame:
 def _rounded(df: DataFrame, places: int = 6) -> DataFrame:
     """DOUBLE columns rounded: floating-point sums differ in the last bits between engines."""
     return df.select(
-        *[F.round(x.name, places).alias(x.name) if isinstance(x.dataType, T.DoubleType) else F.col(x.name)
-          for x in df.schema]
+        *[F.round(field.name, places).alias(field.name) if isinstance(field.dataType, T.DoubleType) else F.col(field.name)
+          for field in df.schema]
     )
 
 
@@ -393,8 +402,19 @@ QUERIES: dict[str, Query] = {
     "period_cards": lambda src: m.period_cards(src.sales_lines(orders=True)),
     "repeat_customer_rate": lambda src: m.repeat_customer_rate(src.sales_lines(customers=True), ["region"]),
     "apply_slicers": apply_slicers,
+    "revenue_ly_year_slicer": lambda src: x.sales_against_last_year(
+        src.sales_lines(orders=True), x.Slicers(years=(SLICED_YEAR,))
+    ).drop("yoy_growth_pct"),
+    "yoy_growth_region_slicer": lambda src: x.sales_against_last_year(src.sales_lines(customers=True), TWO_REGIONS, ["region"], "quarter"),
+    "yoy_growth_leap_range": lambda src: x.sales_against_last_year(src.sales_lines(customers=True), LEAP_RANGE, ["segment"]),
+    "yoy_growth_february": lambda src: x.sales_against_last_year(_EVERY_LINE(src), FEBRUARY, ["category"], "total"),
+    "yoy_growth_every_day": lambda src: x.sales_against_last_year(src.sales_lines(orders=True), grain="day"),
+    "to_date_by_region": lambda src: x.to_date(src.sales_lines(customers=True), ["region"]),
+    "to_date_by_category": lambda src: x.to_date(src.sales_lines(orders=True, products=True), ["category"]),
+    "to_date_sliced": lambda src: x.to_date(_EVERY_LINE(src), ["segment"], LEAP_RANGE),
     # dashboards
     "kpi_cards": lambda src: d.kpi_cards(src.sales_lines(orders=True), SLICED_YEAR),
+    "kpi_cards_range": lambda src: d.kpi_cards(src.sales_lines(orders=True), start=date(2020, 3, 5), end=date(2021, 2, 28)),
     "trend_line": lambda src: d.trend_line(src.sales_lines(orders=True)),
     "revenue_by_category": lambda src: d.revenue_by_category(_ALL_LINES(src), ["region"]),
     "state_map": lambda src: d.state_map(_CUSTOMER_LINES(src)),
