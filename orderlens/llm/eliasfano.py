@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 
-_BLOCK = 8  # 64-bit words of the high bits that one entry of the directory covers
 _U = np.uint64
 _SELECT = np.array([[([i for i in range(8) if byte >> i & 1] + [8] * 8)[k] for k in range(8)] for byte in range(256)], np.int64)
 
+# 64-bit words made of equal parts: 01, 0011, 00001111, 00000001 and 10000000.
+_PAIRS, _QUARTERS, _BYTES, _ONES, _TOPS = (_U((1 << 64) // ((1 << n) - 1) * m) for n, m in ((2, 1), (4, 3), (8, 15), (8, 1), (8, 128)))
+
 
 class EliasFano:
     """A non-decreasing sequence of n values below ``universe`` in about 2 + log2(universe / n) bits each.
@@ -17,7 +19,7 @@ class EliasFano:
 
     def __init__(self, n: int, low: int, lows: np.ndarray, highs: np.ndarray):
         self.n, self.low, self.lows, self.highs = n, low, lows, highs
-        self.directory: list[np.ndarray | None] = [None, None]  # of zeros and ones, one entry per block of words
+        self.directory: list[np.ndarray | None] = [None, None]  # of zeros and ones, one entry per 64-bit word
 
     @classmethod
     def of(cls, values: np.ndarray, universe: int) -> EliasFano:
@@ -64,28 +66,23 @@ class EliasFano:
     def _select(self, k: np.ndarray, ones: bool) -> np.ndarray:
         """Bit positions of the k-th ones or zeros of the high bits, the length of the bits for those beyond."""
         if self.directory[ones] is None:
-            padded = np.zeros(-(-len(self.highs) // _BLOCK) * _BLOCK, np.int64)
-            count = np.bitwise_count(self.highs).astype(np.int64)
-            padded[: len(self.highs)] = count if ones else 64 - count
-            self.directory[ones] = np.concatenate([[0], np.cumsum(padded.reshape(-1, _BLOCK).sum(1))])
-        directory, flip = self.directory[ones], _U(0) if ones else ~_U(0)
+            count = np.bitwise_count(self.highs)
+            self.directory[ones] = np.concatenate([[0], np.cumsum(count if ones else 64 - count, dtype=np.int64)])
+        directory = self.directory[ones]
         inside = k < directory[-1]
         k = np.where(inside, k, 0)
-        block = np.searchsorted(directory, k, "right") - 1
-        left, word = k - directory[block], block * _BLOCK
-        for _ in range(_BLOCK - 1):
-            here = np.bitwise_count(self.highs[np.minimum(word, len(self.highs) - 1)] ^ flip).astype(np.int64)
-            on = (left >= here) & (word < len(self.highs) - 1)
-            if not on.any():
-                break
-            left, word = np.where(on, left - here, left), np.where(on, word + 1, word)
-        bits, shift = self.highs[word] ^ flip, np.zeros(len(k), _U)
-        for _ in range(7):
-            here = np.bitwise_count((bits >> shift) & _U(255)).astype(np.int64)
-            on = left >= here
-            left, shift = np.where(on, left - here, left), np.where(on, shift + _U(8), shift)
-        byte = ((bits >> shift) & _U(255)).astype(np.int64)
-        found = word * 64 + shift.astype(np.int64) + _SELECT[byte, np.minimum(left, 7)]
+        word = np.searchsorted(directory, k, "right") - 1
+        bits, left = self.highs[word], (k - directory[word]).astype(_U)
+        if not ones:
+            bits = ~bits
+        # ones up to the end of each byte, side by side; then the bytes that end before the wanted one
+        sums = bits - ((bits >> _U(1)) & _PAIRS)
+        sums = (sums & _QUARTERS) + ((sums >> _U(2)) & _QUARTERS)
+        sums = ((sums + (sums >> _U(4))) & _BYTES) * _ONES
+        passed = np.bitwise_count(((left * _ONES | _TOPS) - sums) & _TOPS).astype(_U)
+        shift = passed * _U(8)
+        left -= (sums << _U(8) >> shift) & _U(255)
+        found = word * 64 + shift.astype(np.int64) + _SELECT[((bits >> shift) & _U(255)).astype(np.int64), left.astype(np.int64)]
         return np.where(inside, found, len(self.highs) * 64)
 
     def access(self, i: np.ndarray) -> np.ndarray:

@@ -42,11 +42,11 @@ from pyspark.sql import functions as F
 from .common import SPACED, Words, mix, text_slices
 from .eliasfano import EliasFano
 
-ORDER = 2
+ORDER = 3
 PRIOR = {2: 2048.0, 3: 8.0}  # what the lower order weighs, in occurrences of the context
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 WORD_SHARD_BLOCKS = 4  # blocks whose words fill a word shard
-GRAM_SHARD_BLOCKS = 2  # blocks whose n-grams fill a shard
+GRAM_SHARD_BLOCKS = 1  # blocks whose n-grams fill a shard
 LEVELS = 255  # quantisation steps of a share; 0 says that there is none
 LOWEST = -10.0  # log10 of the smallest share
 
@@ -144,12 +144,16 @@ class Level:
         asked = np.flatnonzero(ranges >= 0) if self.words.n else np.zeros(0, np.int64)
         if not len(asked):
             return out
-        begin = self.pointers.access(ranges[asked]).astype(np.int64)
-        end = self.pointers.access(ranges[asked] + 1).astype(np.int64)
-        want = words[asked] + np.where(begin > 0, self.words.access(np.maximum(begin - 1, 0)), _U(0))
+        ranges, words = ranges[asked], words[asked]
+        new = np.flatnonzero(np.concatenate([[True], ranges[1:] != ranges[:-1]]))  # bounds are read once per run
+        run = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(ranges))))
+        begin = self.pointers.access(ranges[new]).astype(np.int64)
+        end = self.pointers.access(ranges[new] + 1).astype(np.int64)
+        base = np.where(begin > 0, self.words.access(np.maximum(begin - 1, 0)), _U(0))
+        want = words + base[run]
         # the last value of the range before may equal the wanted one
-        at = np.maximum(self.words.successor(want), begin)
-        good = at < end
+        at = np.maximum(self.words.successor(want), begin[run])
+        good = at < end[run]
         good[good] = self.words.access(at[good]) == want[good]
         out[asked[good]] = at[good]
         return out
@@ -177,8 +181,10 @@ class Trie:
 
     def pairs(self, keys: np.ndarray, base: int) -> np.ndarray:
         """The place of every pair, -1 for unknown ones."""
-        first = self.levels[0].places(np.zeros(len(keys), np.int64), keys // _U(base))
-        return self.levels[1].places(first, keys % _U(base))
+        first = keys // _U(base)
+        new = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]])) if len(keys) else np.zeros(0, np.int64)
+        place = self.levels[0].places(np.zeros(len(new), np.int64), first[new])
+        return self.levels[1].places(np.repeat(place, np.diff(np.append(new, len(keys)))), keys % _U(base))
 
     def triples(self, pair: np.ndarray, third: np.ndarray) -> np.ndarray:
         """The place of every triple by its pair's place."""
