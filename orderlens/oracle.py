@@ -988,6 +988,26 @@ _QUERIES: dict[str, tuple[str, str]] = {
             round(upper - yhat, 2) AS error_up
         FROM (SELECT *, yhat - {_Z95} * sd * yhat AS lower, yhat + {_Z95} * sd * yhat AS upper FROM tot_curve)""",
     ),
+    "holiday_sales": (
+        "year integer, holiday varchar, day date, observed date, total_revenue double, total_units bigint",
+        """WITH y AS (SELECT DISTINCT cast(year(order_date) AS integer) AS year FROM sold),
+        d AS (SELECT year, cast(unnest(generate_series(make_date(year, 1, 1), make_date(year, 12, 31), INTERVAL 1 DAY)) AS date) AS day FROM y),
+        n AS (SELECT year, day, month(day) AS mo, dayofmonth(day) AS dd, isodow(day) AS w, (dayofmonth(day) + 6) // 7 AS nth,
+            dayofmonth(day) + 7 > dayofmonth(last_day(day)) AS is_last FROM d),
+        named AS (SELECT *, CASE
+            WHEN mo = 1 AND dd = 1 THEN 'New Year''s Day' WHEN mo = 1 AND w = 1 AND nth = 3 AND year >= 1986 THEN 'Martin Luther King Jr. Day'
+            WHEN mo = 2 AND w = 1 AND nth = 3 THEN 'Washington''s Birthday' WHEN mo = 5 AND w = 1 AND is_last THEN 'Memorial Day'
+            WHEN mo = 6 AND dd = 19 AND year >= 2021 THEN 'Juneteenth' WHEN mo = 7 AND dd = 4 THEN 'Independence Day'
+            WHEN mo = 9 AND w = 1 AND nth = 1 THEN 'Labor Day' WHEN mo = 10 AND w = 1 AND nth = 2 THEN 'Columbus Day'
+            WHEN mo = 11 AND dd = 11 THEN 'Veterans Day' WHEN mo = 11 AND w = 4 AND nth = 4 THEN 'Thanksgiving'
+            WHEN mo = 12 AND dd = 25 THEN 'Christmas Day' END AS holiday FROM n),
+        s AS (SELECT order_date, sum(sales_c) / 1e2 AS total_revenue, cast(sum(quantity) AS bigint) AS total_units FROM sold GROUP BY 1)
+        SELECT year, holiday, day,
+            cast(day + CASE WHEN holiday IN ('New Year''s Day', 'Juneteenth', 'Independence Day', 'Veterans Day', 'Christmas Day')
+                THEN CASE w WHEN 6 THEN -1 WHEN 7 THEN 1 ELSE 0 END ELSE 0 END AS date) AS observed,
+            total_revenue, coalesce(total_units, 0) AS total_units
+        FROM named LEFT JOIN s ON day = order_date WHERE holiday IS NOT NULL""",
+    ),
     "run_forecast": (
         "category varchar, " + _FORECAST_TYPES,
         f"""SELECT 'all categories' AS category, * FROM ({_TOTAL_FUTURE})

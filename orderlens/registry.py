@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions.calendar import date_key, day_range, warehouse_calendar
+from .functions.holidays import holiday_calendar
 from .operators import business as q
 from .operators import cleaning as c
 from .operators import context as x
@@ -18,6 +19,7 @@ from .operators import features as f
 from .operators import forecasting as t
 from .operators import insights as r
 from .operators import measures as m
+from .operators import piecewise as pw
 from .operators import quality as v
 from .operators import warehouse as w
 from .plans.etl import run_etl
@@ -261,6 +263,40 @@ def _rounded(df: DataFrame, places: int = 6) -> DataFrame:
     )
 
 
+def _whole_months(src: TradeTables, *keys: str) -> DataFrame:
+    lines = src.sales_lines(orders=True, products=True) if keys else src.sales_lines(orders=True)
+    return stored(t.monthly_series(lines, keys, drop_partial_last_month=True), "months")
+
+
+def holiday_sales(src: TradeTables) -> DataFrame:
+    """Sales on every public holiday of the years with orders, by actual day."""
+    lines = src.sales_lines(orders=True)
+    days = holiday_calendar(lines.select(F.year("order_date").alias("year")))
+    on_day = m.measure_table(lines, ["order_date"], ["total_revenue", "total_units"])
+    return days.join(on_day, F.col("day") == F.col("order_date"), "left").select(
+        "year", "holiday", "day", "observed", "total_revenue", F.coalesce("total_units", F.lit(0)).alias("total_units")
+    )
+
+
+def piecewise_backtest(src: TradeTables) -> DataFrame:
+    """Errors per category of the piecewise model beside those of the straight trend, over the same cutoffs."""
+    series = _whole_months(src, "category")
+    names = ["points", "mae", "mape_pct"]
+    ours, theirs = (t.backtest_metrics(model.backtest_points(series, ["category"]), ["category"]) for model in (pw, t))
+    straight = theirs.select("category", *[F.col(c).alias(f"straight_{c}") for c in names])
+    return _rounded(ours.select("category", *names).join(straight, "category"), 4)
+
+
+def interval_coverage(src: TradeTables) -> DataFrame:
+    """How many held-out points of the categories' back-tests lie within the bounds learnt before them."""
+    series = _whole_months(src, "category")
+    points = pw.backtest_points(series, ["category"], horizon_days=31 * t.HORIZON_MONTHS).where(F.col("step") <= t.HORIZON_MONTHS)
+    each = pw.interval_coverage(points, ["category"])
+    return _rounded(each.groupBy("level_pct").agg(
+        F.sum("points").alias("points"), (F.sum(F.col("points") * F.col("coverage_pct")) / F.sum("points")).alias("coverage_pct")
+    ), 4)
+
+
 def run_forecast_query(src: TradeTables) -> DataFrame:
     path = shared_path(src.spark, "forecast")
     lines = src.sales_lines(orders=True, products=True)
@@ -456,8 +492,15 @@ QUERIES: dict[str, Query] = {
     "forecast_components": lambda src: _rounded(t.forecast_components(t.forecast_horizon(_series(src)))),
     "actual_vs_forecast": lambda src: _rounded(t.actual_vs_forecast(t.forecast_horizon(_series(src))), 2),
     "run_forecast": run_forecast_query,
+    "holiday_sales": holiday_sales,
+    "piecewise_forecast": lambda src: _rounded(pw.forecast_with_intervals(_whole_months(src, "category"), ["category"]), 4),
+    "piecewise_backtest": piecewise_backtest,
+    "interval_coverage": interval_coverage,
 }
 
+#: Queries that SQL does not express (a linear system per series); ``tests/test_piecewise.py`` compares them with numpy.
+WITHOUT_SQL = {"piecewise_forecast", "piecewise_backtest", "interval_coverage"}
+
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
     """One query over the tables in ``folder``."""
