@@ -11,9 +11,9 @@ FOLDER = "/root/testdata/sf0.001"
 def test_stages_equal_brute_force(spark):
     """Each stage on the rows the one before kept; the network's own verdicts stand for the first."""
     source = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    network = language.fit(source)
-    verdict = {r["doc_id"]: r["lang_pred"] != "und" and r["score"] >= corpus_pipeline.MIN_LANGUAGE_SCORE
-               for r in language.predict_languages(source, network).collect()}
+    network = language.fit(source, reject=True)
+    kept = {r["doc_id"] for r in language.keep_determined(source, network).collect()}
+    verdict = {d: d in kept for d, _ in documents()}
     docs = [(d, t) for d, t in documents() if verdict[d]]
     first = {c for _, _, c in shingle_components(docs)}
     docs = [(d, t) for d, t in docs if d in first]
