@@ -1,6 +1,6 @@
 """A training corpus from ``documents``: each stage takes what the one before kept, written as Parquet and read again.
 
-``language_id`` drops texts whose language stays undetermined; ``ngram_jaccard_join`` keeps one document of each class
+``language_id`` drops texts without a letter and those that the network takes for none of the labelled languages; ``ngram_jaccard_join`` keeps one document of each class
 of near copies (five-word shingles, 80 %); ``benchmark_decontamination`` drops documents that share a window of ten
 words with a benchmark item; ``bpe_encoding`` returns the token ids of what is left.
 """
@@ -14,13 +14,12 @@ from orderlens.llm import bpe, decontamination, jaccard, language
 from orderlens.llm.common import table
 from orderlens.session import shared_path
 
-MIN_LANGUAGE_SCORE = 0.2  # below any verdict among up to five languages: short clean texts stay
 BPE_FILE = "word_bpe_49k.json"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the network, fitted to the labelled ones among them, determines."""
-    return language.keep_determined(docs, language.fit(docs), MIN_LANGUAGE_SCORE)
+    """Documents in a language that the network, fitted to the labelled ones among them, knows."""
+    return language.keep_determined(docs, language.fit(docs, reject=True))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
