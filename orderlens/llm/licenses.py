@@ -4,7 +4,8 @@ A text is lower-cased (A-Z) and cut into words of digits, letters and non-ASCII
 spaces are matched against all phrases at once, whole words only. ``SPDX-License-Identifier:`` tags are found in the
 text itself; the expression after a tag goes through a shunting-yard parser for AND, OR and WITH.
 
-Defined cases: a null text is empty and has no label; overlapping places all count; a malformed expression keeps the
+Defined cases: a null text is empty and has no label; overlapping places of base phrases all count, of overlapping notices
+only the longest; a text of any length is scanned whole, in memory in proportion; a malformed expression keeps the
 identifiers it names and permits nothing; extra columns are ignored; repeated rows are scanned each; an empty table
 gives an empty result.
 """
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from itertools import product
 
 import ahocorasick
 import pyarrow as pa
@@ -27,29 +29,97 @@ BASE_PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-#: Notice phrases that the method adds.
+#: Notice phrases that the method adds, besides those of ``creative_commons``; of overlapping phrases the longest counts.
 NOTICE_PHRASES = {
     "all rights reserved": "proprietary",
+    "proprietary and confidential": "proprietary",
+    "confidential and proprietary": "proprietary",
+    "mit license": "mit",
+    "mit no attribution": "mit-0",
+    "permission is hereby granted free of charge": "mit",
+    "x11 license": "x11",
+    "isc license": "isc",
+    "permission to use copy modify and or distribute this software for any purpose": "isc",
+    "bsd license": "bsd",
+    "redistribution and use in source and binary forms": "bsd",
+    "apache license": "apache",
+    "apache license version 1": "apache-1",
+    "apache license 2": "apache-2",
+    "apache license version 2": "apache-2",
+    "boost software license": "bsl",
+    "zlib license": "zlib",
+    "this is free and unencumbered software": "unlicense",
+    "the unlicense": "unlicense",
+    "do what the fuck you want to public license": "wtfpl",
     "gnu general public license": "gpl",
     "gnu lesser general public license": "lgpl",
+    "gnu library general public license": "lgpl",
     "gnu affero general public license": "agpl",
+    "gnu free documentation license": "gfdl",
     "mozilla public license": "mpl",
-    "redistribution and use in source and binary forms": "bsd",
-    "permission is hereby granted free of charge": "mit",
-    "creative commons attribution": "cc-by",
     "eclipse public license": "epl",
-    "this is free and unencumbered software": "unlicense",
+    "common development and distribution license": "cddl",
+    "european union public licence": "eupl",
+    "microsoft public license": "ms-pl",
+    "microsoft reciprocal license": "ms-rl",
+    "artistic license": "artistic",
+    "academic free license": "afl",
+    "open software license": "osl",
+    "python software foundation license": "psf",
+    "postgresql license": "postgresql",
+    "sil open font license": "ofl",
+    "server side public license": "sspl",
+    "business source license": "busl",
+    "elastic license": "elastic",
+    "open data commons attribution license": "odc-by",
+    "open database license": "odbl",
+    "public domain dedication and license": "pddl",
+    "creative commons zero": "cc0",
+    "cc0 1 0 universal": "cc0",
 }
 
+
+def creative_commons() -> dict[str, str]:
+    """Notice phrases of all attribution licences, by their long and short names, with the words' usual spellings."""
+    terms = {
+        "nc": ("noncommercial", "non commercial"), "sa": ("sharealike", "share alike"),
+        "nd": ("noderivs", "noderivatives", "no derivs", "no derivatives"),
+    }
+    out = {}
+    for extra in ((), ("nc",), ("sa",), ("nd",), ("nc", "sa"), ("nc", "nd")):
+        label = "-".join(("cc", "by", *extra))
+        for words in product(*(terms[t] for t in extra)):
+            out[" ".join(("creative commons attribution", *words))] = label
+        out[" ".join(("cc", "by", *extra))] = label
+    return out
+
+
 TAG = "spdx-license-identifier:"
 
-#: Licences whose text may be kept, and licence families that an identifier's prefix names.
-PERMITTED = frozenset({"mit", "apache-2", "bsd", "cc-by", "cc0", "isc", "unlicense", "zlib", "mpl"})
-FAMILIES = [
-    ("apache-2", "apache-2"), ("cc-by-nc", "cc-by-nc"), ("cc-by", "cc-by"), ("cc0", "cc0"), ("bsd", "bsd"), ("mit", "mit"),
-    ("agpl", "agpl"), ("lgpl", "lgpl"), ("gpl", "gpl"), ("mpl", "mpl"), ("epl", "epl"), ("isc", "isc"), ("zlib", "zlib"),
-    ("unlicense", "unlicense"),
-]
+#: Licence families: an identifier belongs to the longest that it equals or goes on from with a hyphen or dot.
+FAMILIES = (
+    "0bsd", "afl", "agpl", "apache", "apache-1", "apache-2", "artistic", "beerware", "blueoak", "bsd", "bsl", "busl", "cc-by", "cc-by-nc",
+    "cc-by-nc-nd", "cc-by-nc-sa", "cc-by-nd", "cc-by-sa", "cc-pddc", "cc0", "cddl", "cecill", "cecill-b", "cecill-c", "cpl", "curl", "ecl", "elastic", "epl",
+    "eupl", "gfdl", "gpl", "hpnd", "isc", "json", "lgpl", "mit", "mit-0", "mpl", "ms-pl", "ms-rl", "mulanpsl", "ncsa", "odbl", "odc-by", "ofl",
+    "openssl", "osl", "pddl", "postgresql", "psf", "python", "ruby", "sspl", "unicode", "unlicense", "upl", "vim", "w3c", "wtfpl", "x11", "zlib",
+    "zpl",
+)
+
+#: Licences whose text may be kept: those that ask for no more than notices. Share-alike, copyleft, non-commercial and
+#: no-derivatives licences are none of them.
+PERMITTED = frozenset({
+    "0bsd", "afl", "apache-1", "apache-2", "beerware", "blueoak", "bsd", "bsl", "cc-by", "cc-pddc", "cc0", "cecill-b", "curl", "ecl", "hpnd", "isc",
+    "mit", "mit-0", "mpl", "mulanpsl", "ncsa", "odc-by", "pddl", "postgresql", "psf", "python", "unicode", "unlicense", "upl", "w3c", "wtfpl", "x11",
+    "zlib", "zpl",
+})
+
+#: Exceptions that add permissions to a licence; another word after WITH changes its terms, so nothing is permitted.
+EXCEPTIONS = (
+    "autoconf-exception", "bison-exception", "bootloader-exception", "classpath-exception", "ecos-exception", "font-exception", "gcc-exception",
+    "gnat-exception", "gstreamer-exception", "i2p-gpl-java-exception", "libtool-exception", "linux-syscall-note", "llvm-exception",
+    "ocaml-lgpl-linking-exception", "openjdk-assembly-exception", "openssl-exception", "qt-gpl-exception", "qt-lgpl-exception", "swift-exception",
+    "u-boot-exception", "universal-foss-exception", "wxwindows-exception",
+)
 
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
@@ -59,10 +129,18 @@ _NAME = r"(?:\([ \t]*)*[a-z0-9.+\-:]+(?:[ \t]*\))*"
 _EXPRESSION = re.compile(rf"[ \t]*({_NAME}(?:[ \t]+(?:and|or|with)[ \t]+{_NAME})*)")
 
 
+def _belongs(name: str, family_: str) -> bool:
+    return name == family_ or name.startswith((f"{family_}-", f"{family_}."))
+
+
 def family(identifier: str) -> str:
-    """The label of a licence identifier."""
+    """The label of a licence identifier, itself if no family holds it."""
     name = identifier.rstrip("+").rstrip(".")
-    return next((label for prefix, label in FAMILIES if name == prefix or name.startswith((f"{prefix}-", f"{prefix}."))), name)
+    return max((f for f in FAMILIES if _belongs(name, f)), key=len, default=name)
+
+
+def known_exception(identifier: str) -> bool:
+    return any(_belongs(identifier, e) for e in EXCEPTIONS)
 
 
 def postfix(expression: str) -> list[str] | None:
@@ -99,16 +177,17 @@ def postfix(expression: str) -> list[str] | None:
 
 
 def permits(expression: str, allowed: Iterable[str] = PERMITTED) -> bool:
-    """Whether the licences in ``allowed`` satisfy the expression; an exception (WITH) leaves its licence as it is."""
+    """Whether the licences in ``allowed`` satisfy the expression; a known exception leaves its licence as it is."""
     order = postfix(expression)
-    stack: list[bool] = []
+    stack: list[tuple[bool, str]] = []
     for token in order or ():
         if token not in PRECEDENCE:
-            stack.append(family(token) in allowed)
+            stack.append((family(token) in allowed, token))
             continue
-        right, left = stack.pop(), stack.pop()
-        stack.append(left or right if token == "or" else left and right if token == "and" else left)
-    return bool(stack) and stack[0]
+        (right, name), (left, _) = stack.pop(), stack.pop()
+        verdict = left or right if token == "or" else left and right if token == "and" else left and known_exception(name)
+        stack.append((verdict, ""))
+    return bool(stack) and stack[0][0]
 
 
 def licence_names(expression: str) -> set[str]:
@@ -122,9 +201,9 @@ def licence_names(expression: str) -> set[str]:
 
 def phrase_automaton() -> ahocorasick.Automaton:
     machine = ahocorasick.Automaton()
-    for phrases, base in ((NOTICE_PHRASES, False), (BASE_PHRASES, True)):
-        for phrase, label in phrases.items():
-            machine.add_word(f" {phrase} ", (len(phrase) + 1, label, base))
+    phrases = NOTICE_PHRASES | creative_commons()
+    for phrase in phrases | BASE_PHRASES:
+        machine.add_word(f" {phrase} ", (len(phrase) + 1, phrases.get(phrase), BASE_PHRASES.get(phrase)))
     machine.make_automaton()
     return machine
 
@@ -146,18 +225,23 @@ SCHEMA = (
 )
 
 
-def scan_text(text: str, phrases: ahocorasick.Automaton, tags: ahocorasick.Automaton) -> tuple:
+def scan_text(text: str, phrases: ahocorasick.Automaton, tags: ahocorasick.Automaton, allowed: frozenset[str] = PERMITTED) -> tuple:
     """The columns of ``SCHEMA`` but doc_id for one text."""
     data = text.encode()
     words = data.translate(_WORD_BYTES).split()
     joined = b" ".join([b"", *words, b""]).decode()
-    base, labels, starts, n_base = set(), set(), [], 0
-    for end, (size, label, is_base) in phrases.iter(joined):
-        labels.add(label)
-        if is_base:
+    base, starts, n_base, notices = set(), [], 0, []
+    for end, (size, label, base_label) in phrases.iter(joined):
+        if label is not None:
+            while notices and notices[-1][0] >= end - size:  # a longer phrase that ends here holds it
+                notices.pop()
+            if not notices or notices[-1][1] < end:
+                notices.append((end - size, end, label))
+        if base_label is not None:
             n_base += 1
-            base.add(label)
+            base.add(base_label)
             starts.append(end - size)
+    labels = base | {label for *_, label in notices}
     expressions = []
     if b":" in data:
         folded = data.translate(_FOLDED).decode()
@@ -165,7 +249,7 @@ def scan_text(text: str, phrases: ahocorasick.Automaton, tags: ahocorasick.Autom
     for expression in expressions:
         labels |= licence_names(expression)
     permitted = (
-        all(permits(e) for e in expressions) if expressions else bool(labels) and labels <= PERMITTED if labels else None
+        all(permits(e, allowed) for e in expressions) if expressions else labels <= allowed if labels else None
     )
     score = 0.0 if not labels else 1.0 if expressions else 0.9 if base else 0.7
     first, last = (joined.count(" ", 0, starts[0]), joined.count(" ", 0, starts[-1])) if starts else (None, None)
@@ -174,19 +258,20 @@ def scan_text(text: str, phrases: ahocorasick.Automaton, tags: ahocorasick.Autom
     )
 
 
-def scan_documents(docs: DataFrame) -> DataFrame:
+def scan_documents(docs: DataFrame, permitted: Iterable[str] = PERMITTED) -> DataFrame:
     """Licence labels of every row of ``docs`` (doc_id, text).
 
     Positions count words from 0; base columns tell of ``BASE_PHRASES`` alone. ``score`` is the strength of the best
-    evidence (tag 1, base phrase 0.9, notice 0.7, none 0). ``permitted``: all tagged expressions, or without tags all
-    labels, are satisfied by ``PERMITTED``; null without any label.
+    evidence (tag 1, base phrase 0.9, notice 0.7, none 0). The column permitted: all tagged expressions, or without tags
+    all labels, are satisfied by the licences in ``permitted``; null without any label.
     """
+    allowed = frozenset(permitted)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases, tags = phrase_automaton(), tag_automaton()
         for batch in batches:
             for part in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
-                found = [scan_text(t.as_py() or "", phrases, tags) for t in part.column(1)]
+                found = [scan_text(t.as_py() or "", phrases, tags, allowed) for t in part.column(1)]
                 columns = list(zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), *(pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True))], names=_NAMES

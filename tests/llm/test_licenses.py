@@ -59,5 +59,51 @@ def test_expressions(expression, order, permitted):
     assert licenses.permits(expression) is permitted
 
 
+@pytest.mark.parametrize(("identifier", "label", "permitted"), [
+    ("cc-by-4.0", "cc-by", True), ("cc-by-sa-4.0", "cc-by-sa", False), ("cc-by-nd-4.0", "cc-by-nd", False), ("cc-by-nc-4.0", "cc-by-nc", False),
+    ("cc-by-nc-sa-3.0", "cc-by-nc-sa", False), ("cc-by-nc-nd-2.5", "cc-by-nc-nd", False), ("cc0-1.0", "cc0", True), ("mit-0", "mit-0", True),
+    ("mit", "mit", True), ("mit-modern-variant", "mit", True), ("mitx", "mitx", False), ("apache-2.0", "apache-2", True), ("apache-2.0+", "apache-2", True),
+    ("apache-1.1", "apache-1", True), ("bsd-3-clause", "bsd", True), ("0bsd", "0bsd", True), ("bsl-1.0", "bsl", True), ("busl-1.1", "busl", False),
+    ("gpl-2.0-only", "gpl", False), ("lgpl-3.0-or-later", "lgpl", False), ("agpl-3.0+", "agpl", False), ("mpl-2.0", "mpl", True),
+    ("cecill-b", "cecill-b", True), ("cecill-2.1", "cecill", False), ("none", "none", False), ("licenseref-own", "licenseref-own", False),
+])
+def test_families(identifier, label, permitted):
+    assert licenses.family(identifier) == label
+    assert licenses.permits(identifier) is permitted
+
+
+def test_every_family_is_its_own_and_permitted_ones_are_families():
+    assert all(licenses.family(f) == f == licenses.family(f"{f}-9.9") for f in licenses.FAMILIES if f not in ("apache", "mit"))
+    assert licenses.PERMITTED <= set(licenses.FAMILIES) and len(set(licenses.FAMILIES)) == len(licenses.FAMILIES)
+    notices = set(licenses.NOTICE_PHRASES.values()) | set(licenses.creative_commons().values())
+    assert notices - {"proprietary"} <= set(licenses.FAMILIES)
+
+
+def test_every_notice_is_found_and_the_longest_counts(spark):
+    phrases = licenses.NOTICE_PHRASES | licenses.creative_commons()
+    docs = [(i, f"x {phrase.title()}, y") for i, phrase in enumerate(phrases)]
+    got = {r["doc_id"]: r for r in licenses.scan_documents(frame(spark, docs)).collect()}
+    for i, (phrase, label) in enumerate(phrases.items()):
+        base = {b for p, b in licenses.BASE_PHRASES.items() if f" {p} " in f" {phrase} "}
+        assert got[i]["labels"] == ",".join(sorted({label, *base})), phrase
+        assert got[i]["permitted"] is ({label, *base} <= licenses.PERMITTED), phrase
+
+
+@pytest.mark.parametrize(("text", "labels"), [
+    ("Creative Commons Attribution-NonCommercial-NoDerivs 3.0", "cc-by-nc-nd"), ("Creative Commons Attribution-ShareAlike 4.0", "cc-by-sa"),
+    ("Creative Commons Attribution 4.0 and GNU Lesser General Public License", "cc-by,lgpl"), ("Apache License", "apache"),
+    ("Creative Commons Attribution Non-Commercial Share Alike", "cc-by-nc-sa"), ("cc by nc nd", "cc-by-nc,cc-by-nc-nd"),
+])
+def test_overlapping_notices(spark, text, labels):
+    assert licenses.scan_documents(frame(spark, [(1, text)])).first()["labels"] == labels
+
+
+def test_permitted_is_a_parameter_and_exceptions_must_be_known(spark):
+    docs = [(1, "SPDX-License-Identifier: GPL-2.0 WITH Classpath-exception-2.0"), (2, "SPDX-License-Identifier: MIT WITH No-Evil")]
+    def verdicts(**options):
+        return [r["permitted"] for r in licenses.scan_documents(frame(spark, docs), **options).orderBy("doc_id").collect()]
+    assert verdicts() == [False, False] and verdicts(permitted=["gpl"]) == [True, False]
+
+
 def test_empty_table(spark):
     assert licenses.scan_documents(frame(spark, [])).collect() == []
