@@ -26,6 +26,36 @@ def test_cuts_reach_the_smallest_capacity(sizes, shards):
     assert sharding.smallest_capacity(sizes, shards) == brute_capacity(sizes, shards) >= largest
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.integers(1, 50), min_size=1, max_size=4), min_size=1, max_size=5), st.integers(1, 5))
+def test_splitting_ends_with_the_smallest_capacity_of_the_groups(ranges, shards):
+    want = brute_capacity([s for r in ranges for s in r], shards)
+    parts = [tuple(r) for r in ranges]
+    while True:
+        sizes, whole = [sum(p) for p in parts], [len(p) == 1 for p in parts]
+        assert sharding.relaxed_capacity(sizes, whole, shards) <= want <= sharding.smallest_capacity(sizes, shards)
+        wide = sharding.undecided(sizes, whole, shards)
+        if not wide:
+            break
+        assert all(not whole[i] for i in wide)
+        parts = [q for i, p in enumerate(parts) for q in ((p[: len(p) // 2], p[len(p) // 2 :]) if i in wide else (p,))]
+    assert sharding.smallest_capacity(sizes, shards) == want
+
+
+def test_capacity_is_exact_for_groups_whatever_the_ranges(spark, monkeypatch):
+    docs = documents("/root/testdata/sf0.001") + [(None, "one group of some size " * 40)] * 30
+    loads = {}
+    for ranges in (4, 1 << 16):
+        monkeypatch.setattr(sharding, "RANGES", ranges)
+        result = sharding.shard_documents(frame(spark, docs), 6).collect()
+        check(docs, result, 6)
+        loads[ranges] = max(sum(r["size"] for r in result if r["shard"] == k) for k in range(6))
+    hashed = frame(spark, docs).selectExpr("xxhash64(coalesce(text, '')) h", "octet_length(coalesce(text, '')) + 8 s").groupBy("h").sum("s")
+    sizes = [r[1] for r in sorted(map(tuple, hashed.collect()))]
+    best = sharding.smallest_capacity(sizes, 6)
+    assert loads[4] <= best and loads[1 << 16] <= best
+
+
 def check(docs, result, shards):
     assert len(result) == len(docs)
     expected = sorted((str(d), len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for d, t in docs)
@@ -48,7 +78,7 @@ def test_documents(spark):
 
 def test_hot_group_and_odd_rows(spark):
     docs = [*ROWS, *((1000 + i, "the same text " * 20) for i in range(300))]
-    check(docs, sharding.shard_documents(frame(spark, docs, ["atom", "salt", "n"]), 5).collect(), 5)
+    check(docs, sharding.shard_documents(frame(spark, docs, ["range", "salt", "n", "hash", "copies"]), 5).collect(), 5)
 
 
 def test_empty_table(spark):
