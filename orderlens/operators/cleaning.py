@@ -2,18 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.ranking import exact_percentiles
-from ..schemas import DATE_COLUMNS, LINE_COLUMNS, MEASURES, NUMERIC_IDS, WHOLE_COLUMNS
+from ..schemas import CORRUPT, DATE_COLUMNS, LINE_COLUMNS, MEASURES, NUMERIC_IDS, WHOLE_COLUMNS
 from ..session import stored
 
 DATE_FORMATS = ["yyyy-MM-dd", "M/d/yyyy"]
 UNKNOWN = "Unknown"
 
 
+@dataclass(frozen=True)
+class Cleaned:
+    """Clean lines, and every raw row that did not become one, over one stored pass."""
+
+    lines: DataFrame
+    sorted_out: DataFrame
+
+    def rejects(self) -> DataFrame:
+        """The reason, the field and its text, how many equal rows there are, and the row as it was read."""
+        kept = [c for c in self.sorted_out.columns if c.startswith("raw_")]
+        return self.sorted_out.where("reason IS NOT NULL").select("reason", "field", "value", "copies", *kept)
+
+    def balance(self) -> DataFrame:
+        """One row: rows read, clean lines, rejected rows (repeats not counted again) and repeats."""
+        figures = self.sorted_out.agg(
+            F.coalesce(F.sum("copies"), F.lit(0)).alias("rows_in"), F.count_if(F.col("reason").isNull()).alias("rows_out"),
+            F.count("reason").alias("rejected"), F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("repeats"),
+        )
+        return figures.withColumn("balanced", F.col("rows_in") == F.col("rows_out") + F.col("rejected") + F.col("repeats"))
+
+
 def dedupe_rows(df: DataFrame) -> DataFrame:
     """Drop rows that equal another in every column."""
     return df.dropDuplicates()
@@ -39,15 +62,16 @@ def rename_known_columns(df: DataFrame, aliases: dict[str, str] | None = None) -
     return df.withColumnsRenamed({old: new for old, new in names.items() if old in df.columns and old != new})
 
 
+def _date(column: str, formats: list[str] = DATE_FORMATS) -> Column:
+    return F.coalesce(*[F.try_to_timestamp(F.trim(column), F.lit(fmt)) for fmt in formats]).cast("date")
+
+
 def parse_dates_drop_bad(
     df: DataFrame, columns: list[str] = DATE_COLUMNS, formats: list[str] = DATE_FORMATS
 ) -> DataFrame:
     """Text to DATE by the first format that fits; rows without a readable date are dropped."""
     present = [c for c in columns if c in df.columns]
-    parsed = {
-        c: F.coalesce(*[F.try_to_timestamp(F.trim(c), F.lit(fmt)) for fmt in formats]).cast("date") for c in present
-    }
-    return df.withColumns(parsed).dropna(subset=present)
+    return df.withColumns({c: _date(c, formats) for c in present}).dropna(subset=present)
 
 
 def coerce_numeric(df: DataFrame, columns: list[str] = [*MEASURES, *NUMERIC_IDS]) -> DataFrame:
@@ -107,3 +131,32 @@ def clean_sales(df: DataFrame) -> DataFrame:
     """
     lines = stored(typed_lines(df), "typed_lines")
     return lines.transform(impute_median).transform(whole_numbers).transform(fill_unknown)
+
+
+def clean_with_rejects(df: DataFrame) -> Cleaned:
+    """``clean_sales`` that keeps account of every raw row; a column ``_corrupt_record`` tells of unreadable ones.
+
+    Runs when called: rows are compared, typed and judged once, and stored with the reason for which a row is no line:
+    it is corrupt, or a date is missing or unreadable, the first such column counting. Repeats of a row are counted on it.
+    """
+    raw = df.transform(normalize_columns).transform(rename_known_columns)
+    columns = raw.columns
+    rows = raw.groupBy(*[f"`{c}`" for c in columns]).agg(F.count("*").alias("copies"))
+    faults = []
+    if CORRUPT in columns:
+        faults.append((F.col(CORRUPT).isNotNull(), "corrupt record", CORRUPT))
+    for c in (c for c in DATE_COLUMNS if c in columns):
+        missing = F.coalesce(F.trim(c), F.lit("")) == ""
+        faults += [(missing, "missing date", c), (_date(c).isNull(), "unreadable date", c)]
+    fault = F.coalesce(*[
+        F.when(bad, F.struct(F.lit(why).alias("reason"), F.lit(c).alias("field"), F.col(c).alias("value"))) for bad, why, c in faults
+    ]) if faults else F.lit(None).cast("struct<reason:string,field:string,value:string>")
+    judged = rows.withColumn("_fault", fault).select(
+        "copies", "_fault.reason", "_fault.field", "_fault.value",
+        *[F.when(F.col("_fault").isNotNull(), F.col(f"`{c}`")).alias(f"raw_{c}") for c in columns if c != CORRUPT],
+        *[F.col(f"`{c}`") for c in columns if c != CORRUPT],
+    )
+    typed = judged.withColumns({c: _date(c) for c in DATE_COLUMNS if c in columns}).transform(coerce_numeric)
+    table = stored(typed, "sorted_out")
+    lines = table.where("reason IS NULL").select(*[c for c in columns if c != CORRUPT])
+    return Cleaned(lines.transform(impute_median).transform(whole_numbers).transform(fill_unknown), table)

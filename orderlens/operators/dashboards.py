@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import date, timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import CALENDAR_END, CALENDAR_START
 from ..functions.money import amount, line_total, percent, ratio, total
+from ..session import stored
 from .forecasting import HORIZON_MONTHS, forecast_horizon, monthly_series
 from .measures import measure_table
 
@@ -229,3 +231,44 @@ def profit_decomposition(df: DataFrame, path: Iterable[str] = ("region", "segmen
 
 def _per_product(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(line_total("sales").alias("_sales"), line_total("profit").alias("_profit"))
+
+
+def loss_decomposition(df: DataFrame, dimensions: Iterable[str] = ("region", "segment", "category")) -> DataFrame:
+    """A drill-down into losses that picks its own splits: one row per step, from the widest to the narrowest.
+
+    A step takes, of all dimensions not used yet, the member whose loss (profits below zero) exceeds an even share of
+    the node's loss by most, and goes on inside it; equal ones go by the order of dimensions, then by member. All steps
+    read one stored CUBE, from which each brings one row to the driver.
+    """
+    dimensions = list(dimensions)
+    below = line_total(F.least(F.col("profit"), F.lit(0))).alias("_loss")
+    cells = df.groupBy(*dimensions).agg(below, line_total("profit").alias("_profit"))
+    cube = stored(cells.cube(*dimensions).agg(
+        (-total("_loss")).cast("double").alias("loss"), total("_profit").cast("double").alias("total_profit"),
+        *[(F.grouping(d) == 0).alias(f"_by_{d}") for d in dimensions],
+    ), "cube")
+    steps, chosen = [], {}
+    for step in range(1, len(dimensions) + 1):
+        inside = cube
+        for d, member in chosen.items():
+            inside = inside.where(F.col(f"_by_{d}") & F.col(d).eqNullSafe(F.lit(member)))
+        found = []
+        for place, d in enumerate(dimensions):
+            if d not in chosen:
+                others = [~F.col(f"_by_{o}") for o in dimensions if o != d and o not in chosen]
+                members = inside.where(reduce(Column.__and__, others, F.col(f"_by_{d}")))
+                node = members.agg(F.struct(F.sum("loss").alias("loss"), F.count("*").alias("members"))).scalar()
+                found.append(members.withColumn("_node", node).select(
+                    F.lit(place).alias("place"), F.lit(d).alias("dimension"), F.col(d).cast("string").alias("member"), "loss",
+                    "total_profit", (F.col("loss") - F.col("_node.loss") / F.col("_node.members")).alias("_excess"),
+                    F.col("_node.loss").alias("_all"),
+                ))
+        best = reduce(DataFrame.unionByName, found).orderBy(F.desc("_excess"), "place", "member").first()
+        if best is None:
+            break
+        chosen[best["dimension"]] = best["member"]
+        share = best["loss"] / best["_all"] * 100 if best["_all"] else None
+        steps.append((step, best["dimension"], best["member"], best["loss"], share, best["total_profit"]))
+    return df.sparkSession.createDataFrame(
+        steps, "step int, dimension string, member string, loss double, share_pct double, total_profit double"
+    )

@@ -339,6 +339,21 @@ def _dense_to_date(key: str, source: str, last: str, where: str = "true") -> str
         FROM (SELECT {key}, order_date, coalesce(s, 0) AS s, coalesce(p, 0) AS p FROM g LEFT JOIN d USING ({key}, order_date))"""
 
 
+def _inside(step: str) -> str:
+    """The condition that a row lies in the member that a step chose."""
+    return f"(SELECT CASE place WHEN 0 THEN region = member WHEN 1 THEN segment = member ELSE category = member END FROM {step})"
+
+
+def _split(where: str) -> str:
+    """Every member of every dimension with its loss, that of all, and how far it exceeds an even share."""
+    each = " UNION ALL ".join(
+        f"SELECT {i} AS place, '{d}' AS dimension, {d} AS member, sum(l) AS loss, sum(p) AS total_profit FROM base WHERE {where} GROUP BY {d}"
+        for i, d in enumerate(("region", "segment", "category"))
+    )
+    return f"""SELECT *, sum(loss) OVER (PARTITION BY place) AS node,
+        loss - sum(loss) OVER (PARTITION BY place) / count(*) OVER (PARTITION BY place) AS excess FROM ({each})"""
+
+
 _TO_DATE_TYPES = "order_date date, revenue_mtd double, revenue_qtd double, revenue_ytd double, profit_ytd double"
 
 
@@ -424,6 +439,18 @@ _QUERIES: dict[str, tuple[str, str]] = {
         """SELECT order_id, coalesce(row_id, 'Unknown') AS row_id, coalesce(ship_mode, 'Unknown') AS ship_mode,
             coalesce(region, 'Unknown') AS region, 'Unknown' AS city, 'Unknown' AS postal_code FROM dated""",
     ),
+    "rejected_input": (
+        "reason varchar, field varchar, value varchar, different_rows bigint, copies bigint",
+        """SELECT 'unreadable date' AS reason, 'order_date' AS field, order_date AS value, count(*) AS different_rows, cast(sum(n) AS bigint) AS copies
+        FROM (SELECT raw.*, count(*) AS n FROM raw WHERE order_date = 'bad' GROUP BY ALL) GROUP BY ALL""",
+    ),
+    "cleaning_balance": (
+        "rows_in bigint, rows_out bigint, rejected bigint, repeats bigint, balanced boolean",
+        """SELECT (SELECT count(*) FROM raw) AS rows_in, count(*) FILTER (order_date <> 'bad') AS rows_out,
+            count(*) FILTER (order_date = 'bad') AS rejected, (SELECT count(*) FROM raw) - count(*) AS repeats, true AS balanced
+        FROM (SELECT DISTINCT * FROM raw)""",
+    ),
+    "clean_with_rejects": (_CLEAN, "SELECT * FROM clean"),
     "clean_sales": (_CLEAN, "SELECT * FROM clean"),
     "date_parts": (
         _ID + "order_year integer, order_month integer, order_quarter integer, order_week integer, order_dow varchar",
@@ -905,6 +932,16 @@ _QUERIES: dict[str, tuple[str, str]] = {
             grouping(region, segment, category) AS level
         FROM sold_all GROUP BY ROLLUP (region, segment, category)""",
     ),
+    "loss_decomposition": (
+        "step integer, dimension varchar, member varchar, loss double, share_pct double, total_profit double",
+        f"""WITH base AS (SELECT region, segment, category, sum(greatest(-profit_c, 0)) / 1e2 AS l, sum(profit_c) / 1e2 AS p FROM sold_all GROUP BY ALL),
+        s1 AS (SELECT 1 AS step, * FROM ({_split("true")}) ORDER BY excess DESC, place, member LIMIT 1),
+        s2 AS (SELECT 2 AS step, n.* FROM ({_split(_inside("s1"))}) n, s1 WHERE n.place <> s1.place ORDER BY n.excess DESC, n.place, n.member LIMIT 1),
+        s3 AS (SELECT 3 AS step, n.* FROM ({_split(_inside("s1") + " AND " + _inside("s2"))}) n, s1, s2
+            WHERE n.place NOT IN (s1.place, s2.place) ORDER BY n.excess DESC, n.place, n.member LIMIT 1)
+        SELECT step, dimension, member, round(loss, 6) AS loss, round(loss / node * 100, 6) AS share_pct, round(total_profit, 6) AS total_profit
+        FROM (SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM s3)""",
+    ),
     "segment_repeat_ltv": (
         "segment varchar, customers bigint, repeat_rate_pct double, avg_ltv double",
         f"""SELECT segment, count(*) AS customers, {pct("count(*) FILTER (WHERE n > 1)", "count(*)")} AS repeat_rate_pct,

@@ -339,6 +339,11 @@ QUERIES: dict[str, Query] = {
     "fill_unknown": lambda src: c.fill_unknown(_dated(src)).select(
         *LINE_ID, "ship_mode", "region", "city", "postal_code"
     ),
+    "rejected_input": lambda src: c.clean_with_rejects(src.raw_lines()).rejects().groupBy("reason", "field", "value").agg(
+        F.count("*").alias("different_rows"), F.sum("copies").alias("copies")
+    ),
+    "cleaning_balance": lambda src: c.clean_with_rejects(src.raw_lines()).balance(),
+    "clean_with_rejects": lambda src: _rounded(c.clean_with_rejects(src.raw_lines()).lines),
     "clean_sales": lambda src: _rounded(c.clean_sales(src.raw_lines())),
     # features
     "date_parts": _line_feature(
@@ -470,6 +475,7 @@ QUERIES: dict[str, Query] = {
     "area_trend": lambda src: _rounded(d.area_trend(src.sales_lines(orders=True)), 2),
     "actuals_plus_forecast": lambda src: d.actuals_plus_forecast(_series(src), _forecast_table(src)),
     "profit_decomposition": lambda src: d.profit_decomposition(_ALL_LINES(src)),
+    "loss_decomposition": lambda src: _rounded(d.loss_decomposition(_ALL_LINES(src))),
     # findings
     "segment_repeat_ltv": lambda src: r.segment_repeat_ltv(src.sales_lines(customers=True)),
     "loss_rate_by_discount": lambda src: r.loss_rate_by_discount(src.star()),

@@ -43,3 +43,5 @@ ENRICHED_SCHEMA = ", ".join(
     [CLEAN_SCHEMA, *(f"{name} {_FEATURE_TYPES.get(name, 'int')}" for name in FEATURE_COLUMNS)]
 )
 FORECAST_SCHEMA = "forecast_month date, predicted_sales double, lower_bound double, upper_bound double"
+
+CORRUPT = "_corrupt_record"  # the text of a row that cannot be read

@@ -6,8 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..schemas import CLEAN_SCHEMA, FORECAST_SCHEMA
+from ..schemas import CLEAN_SCHEMA, CORRUPT, FORECAST_SCHEMA
 
 RAW_ENCODING = "ISO-8859-1"
 QUOTING = {"quote": '"', "escape": '"'}  # a quote inside a quoted field is doubled, as other tools read and write it
@@ -35,6 +36,15 @@ def read_raw_sales(spark: SparkSession, path: str, multi_line: bool = False) ->
     )
 
 
+def read_raw_with_corrupt(spark: SparkSession, path: str) -> DataFrame:
+    """As ``read_raw_sales``, with the text of rows of the wrong number of fields in a column ``_corrupt_record``."""
+    names = read_raw_sales(spark, path).columns
+    fields = [StructField(name, StringType()) for name in [*names, CORRUPT]]
+    return spark.read.schema(StructType(fields)).csv(
+        path, header=True, encoding=RAW_ENCODING, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, enforceSchema=True, **QUOTING
+    )
+
+
 def write_raw_sales(df: DataFrame, path: str) -> None:
     """Order lines as headered latin-1 CSV files."""
     df.write.csv(path, header=True, encoding=RAW_ENCODING, mode="overwrite", **QUOTING)
