@@ -6,12 +6,13 @@ window the smallest is its fingerprint. Both sides choose by the same rule, so a
 more always shares a fingerprint. Documents look theirs up among the benchmark's, and each hit is extended: the
 whole window must occur (128 bits of hash). A document word inside any occurrence is hit.
 
-The benchmark's windows go to the tasks in slices of ``SLICE_WINDOWS`` pairs of window and item at most. Usually
-there is one slice and documents never move; more slices are scanned one after another and joined by row.
+A benchmark of at most ``BROADCAST_WINDOWS`` pairs of window and item is broadcast, and documents never move. A larger
+one stays where it is: the documents' distinct fingerprints are joined with the benchmark's, a document gets the windows
+of the fingerprints that it shares, and extends its hits with them. No part of either passes through the driver then.
 
 Defined cases: null and wordless texts have no words, no windows and no hits; items that share an id are one item;
-repeated rows of documents are judged each; an item without an id counts under null and is left out of joined ids;
-extra columns are ignored; empty tables give no hits or no rows.
+repeated rows of documents are judged each; a text of any length is read whole; an item without an id counts under null
+and is left out of joined ids; extra columns are ignored; empty tables give no hits or no rows.
 """
 
 from __future__ import annotations
@@ -20,15 +21,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
 from .common import ALNUM, Words, grams, mix, text_slices
 
 WINDOW = 10
 GRAM = 5
-SLICE_WINDOWS = 1_000_000
+BROADCAST_WINDOWS = 1_000_000
 FILTER_BITS = 22  # slots of the table that is asked before the exact lookup
 
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
@@ -82,8 +83,8 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     )
 
 
-class Slice:
-    """Some of the benchmark's windows, by length: filter table, sorted windows and their items."""
+class Windows:
+    """Windows of the benchmark, by length: filter table, sorted windows and their items."""
 
     def __init__(self, rows: pa.Table):
         self.by_length = {}
@@ -102,15 +103,15 @@ class Slice:
             )
 
 
-def _slot_table(known: np.ndarray) -> np.ndarray:
-    table = np.zeros(1 << FILTER_BITS, bool)
-    table[known >> np.uint64(64 - FILTER_BITS)] = True
+def _slot_table(known: np.ndarray, bits: int = FILTER_BITS) -> np.ndarray:
+    table = np.zeros(1 << bits, bool)
+    table[known >> np.uint64(64 - bits)] = True
     return table
 
 
 def _among(values: np.ndarray, known: np.ndarray, slots: np.ndarray) -> np.ndarray:
     """Which of ``values`` are in the sorted ``known``."""
-    out = slots[values >> np.uint64(64 - FILTER_BITS)]
+    out = slots[values >> np.uint64(65 - len(slots).bit_length())]
     asked = values[out]
     at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
     out[out] = known[at] == asked
@@ -130,8 +131,8 @@ def _occurrences(hashes: np.ndarray, length: int, known: np.ndarray, slots: np.n
     return np.repeat(run[hit] - np.cumsum(size) + size, size) + np.arange(size.sum())
 
 
-def _judge(words: Words, tables: dict, everything: bool) -> tuple[np.ndarray, list, list]:
-    """For the rows of a slice: which rows to return, their spans and their items."""
+def _judge(words: Words, tables: dict) -> tuple[list, list]:
+    """Spans and items of the rows of a slice."""
     hashes = words.hashes()
     second = None
     covered = np.zeros(len(hashes) + 1, np.int32)
@@ -173,76 +174,82 @@ def _judge(words: Words, tables: dict, everything: bool) -> tuple[np.ndarray, li
         for r, item in zip(np.concatenate(pairs_row), (i for c in pairs_item for i in c.to_pylist()), strict=True):
             found[r].append(item)
         found = [list(dict.fromkeys(x)) for x in found]
-    keep = np.arange(n_rows) if everything else np.array([r for r in range(n_rows) if spans[r]], np.int64)
-    return keep, spans, found
+    return spans, found
 
 
-def _scan(docs: DataFrame, part: Broadcast, everything: bool) -> DataFrame:
+def _judged(rows: pa.RecordBatch, words: Words, tables: dict) -> pa.RecordBatch:
+    spans, items = _judge(words, tables)
+    return pa.RecordBatch.from_arrays(
+        [
+            rows.column(0), rows.column(1), pa.array(np.diff(words.first)),
+            pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), pa.array(items, pa.list_(pa.int64())),
+        ],
+        names=["doc_id", "text_key", "n_words", "spans", "item_ids"],
+    )
+
+
+def _scanned(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """``SCHEMA`` of ``docs`` (doc_id, text_key, text) by broadcast windows."""
+    shared = docs.sparkSession.sparkContext.broadcast(Windows(windows.toArrow()))  # BROADCAST_WINDOWS rows at most
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = {n: (*x, _slot_table(x[0])) for n, x in part.value.by_length.items()}
+        tables = {n: (*x, _slot_table(x[0])) for n, x in shared.value.by_length.items()}
+        for rows, data, offsets in text_slices(batches, "text"):
+            yield _judged(rows, Words(data, offsets, ALNUM), tables)
+
+    return docs.mapInArrow(scan, SCHEMA)
+
+
+def _joined(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """``SCHEMA`` of ``docs`` (doc_id, text_key, text) by a join of fingerprints."""
+    lengths = [r["length"] for r in windows.select("length").distinct().collect()]  # WINDOW rows at most
+
+    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_slices(batches, "text"):
             words = Words(data, offsets, ALNUM)
-            keep, spans, items = _judge(words, tables, everything)
-            if len(keep):
+            hashes = words.hashes()
+            for length in lengths:
+                found = fingerprints(hashes) if length == WINDOW else grams(hashes, length)
+                start = np.arange(len(found))
+                row = np.searchsorted(words.first, start, "right") - 1
+                inside = start + length <= words.first[row + 1]
+                pair = np.unique(np.stack([row[inside].astype(np.uint64), found[inside]]), axis=1)
+                owner = pa.array(pair[0].astype(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        rows.column(0).take(pa.array(keep)), rows.column(1).take(pa.array(keep)),
-                        pa.array(np.diff(words.first)[keep]),
-                        pa.array([spans[r] for r in keep], pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
-                        pa.array([items[r] for r in keep], pa.list_(pa.int64())),
-                    ],
-                    names=["doc_id", "text_key", "n_words", "spans", "item_ids"],
+                    [rows.column(0).take(owner), rows.column(1).take(owner), pa.array(np.full(len(owner), length, np.int32)), pa.array(pair[1].view(np.int64))],
+                    names=["doc_id", "text_key", "length", "print"],
                 )
 
-    text = F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", F.xxhash64(text).alias("text_key"), text.alias("text")).mapInArrow(scan, SCHEMA)
+    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, offsets in text_slices(batches, "text"):
+            own = pa.Table.from_arrays(rows.column(3).flatten().flatten().flatten(), names=WINDOW_FIELDS)
+            own = own.group_by(WINDOW_FIELDS).aggregate([])  # several documents may bring one
+            tables = {n: (*x, _slot_table(x[0], 16)) for n, x in Windows(own).by_length.items()} if own.num_rows else {}
+            yield _judged(rows, Words(data, offsets, ALNUM), tables)
 
+    kind = "doc_id bigint, text_key bigint, length int, print bigint"
+    known = windows.groupBy("length", "print").agg(F.collect_list(F.struct(*WINDOW_FIELDS)).alias("windows"))
+    hits = docs.mapInArrow(prints, kind).distinct().join(known, ["length", "print"])
+    hits = hits.groupBy("doc_id", "text_key").agg(F.collect_list("windows").alias("windows"))
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"h.{c}")) for c in ("doc_id", "text_key")]
+    nothing = F.expr("cast(array() as array<array<struct<length:int,print:bigint,first:bigint,second:bigint,item_id:bigint>>>)")
+    rows = docs.alias("d").join(hits.alias("h"), same, "left").select("d.doc_id", "d.text_key", "d.text", F.coalesce("h.windows", nothing).alias("windows"))
+    return rows.mapInArrow(extend, SCHEMA)
 
-def contaminated_spans(docs: DataFrame, benchmark: DataFrame, slice_windows: int = SLICE_WINDOWS) -> DataFrame:
-    """doc_id, text_key (hash of the text), n_words, hit spans (word positions, merged) and item_ids of every row of ``docs``.
 
-    Reads the benchmark when called: its windows are collected slice by slice and broadcast.
-    """
-    spark = docs.sparkSession
-    windows = benchmark_windows(benchmark)
-    slices = max(1, -(-windows.count() // slice_windows))
-    parts = []
-    for i in range(slices):
-        own = windows.filter(F.pmod(F.xxhash64("first", "item_id"), F.lit(slices)) == i) if slices > 1 else windows
-        parts.append(_scan(docs, spark.sparkContext.broadcast(Slice(own.toArrow())), i == 0))
-    if slices == 1:
-        return parts[0]
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    counted = parts[0].groupBy("doc_id", "text_key").agg(F.count("*").alias("copies"))
-    merged = rows.groupBy("doc_id", "text_key").agg(
-        F.max("n_words").alias("n_words"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"),
-        F.array_distinct(F.flatten(F.collect_list("item_ids"))).alias("item_ids"),
-    )
-    same = [F.col(f"m.{c}").eqNullSafe(F.col(f"c.{c}")) for c in ("doc_id", "text_key")]
-    return (
-        merged.alias("m").join(counted.alias("c"), same)
-        .select("m.doc_id", "m.text_key", "m.n_words", _merged("m.spans").alias("spans"), "m.item_ids",
-                F.explode(F.sequence(F.lit(1), F.col("c.copies").cast("int"))).alias("copy"))
-        .drop("copy")
-    )
+WINDOW_FIELDS = ["length", "print", "first", "second", "item_id"]
 
 
-def _merged(spans: str):
-    """Sorted spans with overlapping and touching ones joined."""
-    return F.aggregate(
-        F.col(spans), F.expr(f"cast(array() as {SPANS})"),
-        lambda done, s: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["stop"] >= s["start"]),
-            F.concat(
-                F.slice(done, F.lit(1), F.size(done) - 1),
-                F.array(F.struct(F.element_at(done, -1)["start"].alias("start"),
-                                 F.greatest(F.element_at(done, -1)["stop"], s["stop"]).alias("stop"))).cast(SPANS),
-            ),
-        ).otherwise(F.concat(done, F.array(s))).cast(SPANS),
-    )
+def contaminated_spans(docs: DataFrame, benchmark: DataFrame, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+    """doc_id, text_key (hash of the text), n_words, hit spans (word positions, merged) and item_ids of every row of ``docs``.
+
+    Stores the benchmark's windows when called.
+    """
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", F.xxhash64(text).alias("text_key"), text.alias("text"))
+    windows = stored(benchmark_windows(benchmark), "windows")
+    few = windows.count() <= broadcast_windows
+    return _scanned(rows, windows) if few else _joined(rows, windows)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -15,9 +15,9 @@ def setup():
     return docs, items
 
 
-@pytest.mark.parametrize("windows", [decontamination.SLICE_WINDOWS, 150])
+@pytest.mark.parametrize("windows", [decontamination.BROADCAST_WINDOWS, 0])
 def test_equals_brute_force(spark, monkeypatch, windows):
-    """Also with the benchmark in several slices."""
+    """With the benchmark broadcast, and joined by its fingerprints."""
     docs, items = setup()
     plain = decontamination.contaminated_spans
     monkeypatch.setattr(decontamination, "contaminated_spans", lambda d, b: plain(d, b, windows))
@@ -41,7 +41,10 @@ def test_a_shared_window_always_shares_its_fingerprint():
         assert prints(shared)[0] in prints(f"x y {shared} z") and prints(shared)[0] in prints(" ".join(words))
 
 
-def test_clean_documents_keeps_rows_and_columns(spark):
+@pytest.mark.parametrize("windows", [decontamination.BROADCAST_WINDOWS, 0])
+def test_clean_documents_keeps_rows_and_columns(spark, monkeypatch, windows):
+    plain = decontamination.contaminated_spans
+    monkeypatch.setattr(decontamination, "contaminated_spans", lambda d, b: plain(d, b, windows))
     docs, items = setup()
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     df = frame(spark, docs, ["text_key", "spans"])
@@ -51,6 +54,15 @@ def test_clean_documents_keeps_rows_and_columns(spark):
     assert sorted((str(r[0]), str(r[1])) for r in kept.collect()) == sorted((d, str(t)) for d, t in clean)
 
 
+def test_both_ways_give_the_same_spans(spark):
+    docs, items = setup()
+    docs, benchmark = frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")
+    def spans(windows):
+        rows = decontamination.contaminated_spans(docs, benchmark, windows).collect()
+        return sorted(str((r["doc_id"], r["n_words"], r["spans"], sorted(map(str, r["item_ids"])))) for r in rows)
+    assert spans(decontamination.BROADCAST_WINDOWS) == spans(0)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     result = decontamination.contamination(frame(spark, ROWS), none).collect()
