@@ -4,10 +4,13 @@ Vectors are ordered by descending length and cut into blocks. A rotation from th
 most of a product into its first components. A block first asks what Cauchy-Schwarz allows at all (product of
 lengths), then adds the partial sum over the first components and the product of the residual lengths, and only pairs
 that can still reach the query's k-th best score get the exact product. Queries meet the longest vectors first; the
-k-th score found there is their bar in all other blocks. Query blocks and vector blocks meet in cells of bounded size.
+k-th score found there is their bar in all other blocks. Before anything moves, the bar and the lengths of query and
+block tell, by Cauchy-Schwarz, the last block that a query must see; a block goes only to query blocks of which a query
+must see it. Such query blocks and vector blocks meet in cells of bounded size.
 
 Defined cases: vectors that are null, hold a null or non-finite component, or have no id take no part; repeated rows
-count once and rows that share the query's id are its own; a shorter vector counts as padded with zeros; equal scores
+count once and rows that share the query's id are its own; a query id with unlike vectors has the best scores of all of
+them, each vec_id once; a shorter vector counts as padded with zeros; equal scores
 go to the smaller vec_id; products beyond 2^53 are taken in 64-bit integers and wrap; fewer than k candidates give
 fewer rows; extra columns are ignored; an empty table gives an empty result.
 """
@@ -21,12 +24,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_path
+from ..session import shared_path, stored
 
 SCALE = 64
 BLOCK = 4096  # vectors of a block
 QUERY_BLOCK = 1024
 STEP = 512  # vectors that are bounded together
+RUNS = 65_536  # runs of blocks whose lengths are known to every task
 
 FOUND = "query_id bigint, vec_id bigint, score bigint"
 
@@ -43,40 +47,45 @@ def integer_vectors(vectors: DataFrame) -> DataFrame:
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
+    """Integer vectors as rows."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, width)
 
 
 def rotation(vectors: DataFrame, width: int) -> np.ndarray:
-    """Right singular vectors of all rows, largest singular value first, from partial sums of width x width."""
+    """Right singular vectors of all rows, largest singular value first, from partial sums that Spark adds up."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((width, width))
         for batch in batches:
-            m = _matrix(batch.column(0), width)
+            m = _matrix(batch.column(0), width).astype(np.float64)
             total += m.T @ m
         yield pa.RecordBatch.from_arrays([pa.array([total.ravel()])], names=["g"])
 
+    sums = vectors.select("v").mapInArrow(partial, "g array<double>").select(F.posexplode("g").alias("place", "g"))
     total = np.zeros(width * width)
-    for row in vectors.select("v").mapInArrow(partial, "g array<double>").toLocalIterator():
-        total += np.array(row["g"])
+    for place, value in sums.groupBy("place").agg(F.sum("g")).collect():  # width * width rows
+        total[place] = value
     _, axes = np.linalg.eigh(np.nan_to_num(total.reshape(width, width)))
     return axes[:, ::-1]
 
 
+NONE = np.iinfo(np.int64).min  # the score of no candidate
+
+
 class Best:
-    """The best k candidates of each query so far."""
+    """The best k candidates of each query so far, in 64-bit integers."""
 
     def __init__(self, queries: int, k: int, bar: np.ndarray):
         self.k, self.bar = k, bar
-        self.score = np.full((queries, k), -np.inf)
+        self.score = np.full((queries, k), NONE)
         self.id = np.full((queries, k), np.iinfo(np.int64).max)
 
     def add(self, who: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
-        """Scores (queries x candidates, -inf for none) of the queries ``who``."""
+        """Scores (queries x candidates, ``NONE`` for none) of the queries ``who``."""
         score = np.concatenate([self.score[who], score], 1)
         ids = np.concatenate([self.id[who], np.broadcast_to(ids, (len(who), len(ids)))], 1)
-        order = np.lexsort((ids, -score))[:, : self.k]
+        order = np.lexsort((ids, ~score))[:, : self.k]  # the complement turns the order round without overflow
         self.score[who] = np.take_along_axis(score, order, 1)
         self.id[who] = np.take_along_axis(ids, order, 1)
         self.bar[who] = np.maximum(self.bar[who], self.score[who, -1])
@@ -85,13 +94,14 @@ class Best:
 def search_block(
     queries: np.ndarray, query_ids: np.ndarray, bar: np.ndarray, block: np.ndarray, ids: np.ndarray, axes: np.ndarray, k: int
 ) -> Best:
-    """The block's best k of each query that reach its ``bar``."""
-    order = np.lexsort((ids, -(block * block).sum(1)))
-    block, ids = block[order], ids[order]
-    length, query_length = np.sqrt((block * block).sum(1)), np.sqrt((queries * queries).sum(1))
+    """The block's best k of each query that reach its ``bar``; vectors and bars are integers."""
+    real, real_queries = block.astype(np.float64), queries.astype(np.float64)
+    order = np.lexsort((ids, -(real * real).sum(1)))
+    block, real, ids = block[order], real[order], ids[order]
+    length, query_length = np.sqrt((real * real).sum(1)), np.sqrt((real_queries * real_queries).sum(1))
     best, head = Best(len(queries), k, bar.copy()), max(1, axes.shape[1] // 4)
     exact = bool(length.max(initial=0) * query_length.max(initial=0) < 2**53)
-    turned, query_turned = (block @ axes)[:, :head], (queries @ axes)[:, :head]
+    turned, query_turned = (real @ axes)[:, :head], (real_queries @ axes)[:, :head]
     rest = np.sqrt(np.maximum(length**2 - (turned**2).sum(1), 0))
     query_rest = np.sqrt(np.maximum(query_length**2 - (query_turned**2).sum(1), 0))
     for at in range(0, len(block), STEP):
@@ -107,12 +117,11 @@ def search_block(
         who, can = who[can.any(1)], can[can.any(1)][:, some]
         if not len(who):
             continue
-        there = block[part][some]
-        if exact:
-            score = queries[who] @ there.T
+        if exact:  # whole numbers below 2^53 are exact in floating point, and faster
+            score = np.rint(real_queries[who] @ real[part][some].T).astype(np.int64)
         else:
-            score = (queries[who].astype(np.int64) @ there.astype(np.int64).T).astype(np.float64)
-        best.add(who, np.where(can & (score >= best.bar[who, None]), score, -np.inf), ids[part][some])
+            score = queries[who] @ block[part][some].T
+        best.add(who, np.where(can & (score >= best.bar[who, None]), score, NONE), ids[part][some])
     return best
 
 
@@ -134,7 +143,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     (
         vectors.withColumn("norm", norm)
         .repartitionByRange(-(-n // BLOCK), F.desc("norm"), F.asc("vec_id"))
-        .select("vec_id", "v", F.spark_partition_id().alias("block"))
+        .select("vec_id", "v", "norm", F.spark_partition_id().alias("block"))
         .write.parquet(f"{folder}/blocks")
     )
     blocks = spark.read.parquet(f"{folder}/blocks")
@@ -146,40 +155,77 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
         F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int").alias("query_block"),
     )
 
-    def cells(queries: DataFrame, first: int, last: int) -> DataFrame:
-        """What the blocks from ``first`` to ``last`` hold for the queries, which have a column bar."""
+    def cells(queries: DataFrame, first: int) -> DataFrame:
+        """What the blocks from ``first`` on hold for the queries, which have columns bar and last, their last block."""
+        reach = queries.groupBy("query_block").agg(F.max("last").alias("last"))  # a row per query block
+        needed = stored(reach.filter(F.col("last") >= first).select(
+            "query_block", F.explode(F.sequence(F.lit(first), F.col("last"))).alias("block")
+        ), "cells")
 
         def cell(left: pa.Table, right: pa.Table) -> pa.Table:
             found = {"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0, np.int64)}
             if left.num_rows and right.num_rows:
                 names = left["query_id"].to_numpy()
                 best = search_block(
-                    _matrix(left["q"], width), names, left["bar"].to_numpy().astype(np.float64),
-                    _matrix(right["v"], width), right["vec_id"].to_numpy(), axes, k,
+                    _matrix(left["q"], width), names, left["bar"].to_numpy(),
+                    _matrix(right["v"], width), right["vec_id"].to_numpy(), axes, k * _copies(right["vec_id"].to_numpy()),
                 )
-                good = best.score > -np.inf
+                good = best.score > NONE
                 found = {
                     "query_id": np.repeat(names, good.sum(1)), "vec_id": best.id[good],
-                    "score": best.score[good].astype(np.int64),
+                    "score": best.score[good],
                 }
             return pa.table(found)
 
-        asked = queries.withColumn("block", F.explode(F.sequence(F.lit(first), F.lit(last))))
-        there = blocks.filter(F.col("block").between(first, last)).withColumn(
-            "query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))
-        )
+        asked = queries.filter(F.col("last") >= first).withColumn("block", F.explode(F.sequence(F.lit(first), F.col("last"))))
+        there = blocks.join(needed, "block")
         keys = ["query_block", "block"]
         return asked.groupBy(keys).cogroup(there.groupBy(keys)).applyInArrow(cell, FOUND)
 
-    cells(queries.withColumn("bar", F.lit(float("-inf"))), 0, 0).write.parquet(f"{folder}/first")
+    cells(queries.withColumns({"bar": F.lit(int(NONE)), "last": F.lit(0)}), 0).write.parquet(f"{folder}/first")
     found = spark.read.parquet(f"{folder}/first")
     if n_blocks > 1:
-        bars = found.groupBy("query_id").agg(F.min("score").alias("least"), F.count("*").alias("n"))
-        bar = F.when(F.col("n") >= k, F.col("least").cast("double")).otherwise(F.lit(float("-inf")))
-        barred = queries.join(bars, "query_id", "left").select("query_id", "q", "query_block", F.coalesce(bar, F.lit(float("-inf"))).alias("bar"))
-        found = found.unionByName(cells(barred, 1, n_blocks - 1))
+        bars = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).groupBy("query_id").agg(
+            F.min("score").alias("least"), F.count("*").alias("n")
+        )  # k rows of a query at most, unless its id or an id of the block has unlike vectors
+        bar = F.when(F.col("n") >= k, F.col("least")).otherwise(F.lit(int(NONE)))
+        barred = queries.join(bars, "query_id", "left").select("query_id", "q", "query_block", F.coalesce(bar, F.lit(int(NONE))).alias("bar"))
+        barred = _with_last(barred, blocks, n_blocks)
+        found = found.unionByName(cells(barred, 1))
+    pairs = found.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _with_last(queries: DataFrame, blocks: DataFrame, n_blocks: int) -> DataFrame:
+    """``queries`` with the last block that can hold a score which reaches their bar.
+
+    Blocks are in order of length, so a query must see all before it too. Lengths of runs of blocks, at most ``RUNS``
+    numbers, are broadcast.
+    """
+    run = -(-n_blocks // RUNS)
+    rows = blocks.groupBy(F.floor(F.col("block") / run).alias("run")).agg(F.max("norm"), F.max("block")).collect()
+    rows = sorted(tuple(r) for r in rows)
+    shared = blocks.sparkSession.sparkContext.broadcast((np.sqrt([r[1] for r in rows]), np.array([0, *(r[2] for r in rows)])))
+
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        longest, last = shared.value
+        for batch in batches:
+            sizes = batch.column(1).value_lengths().to_numpy()
+            q = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            length = np.sqrt((q * q).reshape(len(sizes), -1).sum(1)) if len(sizes) else np.zeros(0)
+            bar = batch.column(3).to_numpy().astype(np.float64) * (1 - 1e-9) - 1
+            with np.errstate(divide="ignore", invalid="ignore"):
+                wanted = np.where(bar <= 0, -np.inf, bar / length)
+            seen = np.searchsorted(-longest, -wanted, "right")
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(last[seen].astype(np.int32))], names=[*batch.schema.names, "last"])
+
+    return queries.mapInArrow(reach, "query_id bigint, q array<bigint>, query_block int, bar bigint, last int")
+
+
+def _copies(ids: np.ndarray) -> int:
+    """How often the most frequent id occurs."""
+    return int(np.unique(ids, return_counts=True)[1].max())
 
 
 ORACLE = """
