@@ -1,8 +1,8 @@
 """Monthly forecasts of any number of series in one job.
 
-A straight trend times a seasonal index per calendar month, both in closed form. Every step is a
-window over a series' own months (at most one row per calendar month), so series are spread over
-the cluster and no series leaves its task.
+A straight trend times a seasonal index per calendar month, both in closed form. A series is one row
+that holds its months as an array (at most one entry per calendar month); everything after the
+shuffle that gathers them is column expressions over that row.
 """
 
 from __future__ import annotations
@@ -49,53 +49,76 @@ def monthly_series(df: DataFrame, keys: Iterable[str] = (), drop_partial_last_mo
     return monthly.drop("_last_day")
 
 
-def _month_number(day: str) -> Column:
+def _month_number(day: str | Column) -> Column:
     return F.year(day) * 12 + F.month(day)
 
 
-def _trend() -> Column:
-    return F.greatest(F.col("intercept") + F.col("slope") * F.col("t"), F.col("_floor"))
+def _trend(t: Column) -> Column:
+    return F.greatest(F.col("intercept") + F.col("slope") * t, F.col("_floor"))
 
 
-def _fit(rows: DataFrame, keys: list[str], training: Column) -> DataFrame:
-    """Add the model of each series, fitted on its ``training`` rows, to all its rows."""
-    series = Window.partitionBy(*keys)
-    calendar_month = Window.partitionBy(*keys, "month_num")
-    y = F.when(training, F.col("y"))
-    ratio = F.when(training, F.try_divide(F.col("y"), F.col("trend")))
-    seen = F.collect_set(F.when(F.col("_raw").isNotNull(), F.struct("month_num", "_raw"))).over(series)
-    mean = F.aggregate("_indices", F.lit(0.0), lambda acc, pair: acc + pair["_raw"]) / F.size("_indices")
-    error = F.when(training, F.try_divide(F.col("y"), F.col("fitted")) - 1)
-    return (
-        rows.withColumn("month_num", F.month("ds"))
-        .withColumn("t", _month_number("ds") - F.min(_month_number("ds")).over(series))
-        .withColumn("slope", F.regr_slope(y, F.col("t")).over(series))
-        .withColumn("intercept", F.regr_intercept(y, F.col("t")).over(series))
-        .withColumn("_floor", F.avg(y).over(series) * TREND_FLOOR)
-        .withColumn("trend", _trend())
-        .withColumn("_raw", F.avg(ratio).over(calendar_month))
-        .withColumn("_indices", seen)
-        .withColumn("_mean", F.when(F.size("_indices") > 0, mean))
-        .withColumn("seasonal_index", F.coalesce(F.col("_raw") / F.col("_mean"), F.lit(1.0)))
-        .withColumn("fitted", F.col("trend") * F.col("seasonal_index"))
-        .withColumn("residual_sd", F.stddev_samp(error).over(series))
-        .drop("_raw")
+def _mean(values: Column) -> Column:
+    """Mean of an array's values that are not null, null without any."""
+    return F.aggregate(
+        F.filter(values, lambda v: v.isNotNull()), F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n")),
+        lambda s, v: F.struct((s["sum"] + v).alias("sum"), (s["n"] + 1).alias("n")),
+        lambda s: F.try_divide(s["sum"], s["n"]),
     )
 
 
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda total, v: total + v)
+
+
+def _gathered(series: DataFrame, keys: list[str], carry: Iterable[str] = ()) -> DataFrame:
+    """One row per series with its months in order (at most one per calendar month)."""
+    months = F.array_sort(F.collect_list(F.struct("ds", "y", *carry))).alias("_months")
+    return series.groupBy(*keys).agg(months)
+
+
+def _fit(df: DataFrame, training: Column) -> DataFrame:
+    """Add the model of the ``training`` months (an array of ds and y) to rows that hold a series' months.
+
+    ``_raw`` has the mean ratio to the trend of each calendar month, null if it was not seen, ``_level`` their mean.
+    """
+    df = df.withColumn("_first", _month_number(F.get("_months", 0)["ds"])).withColumn(
+        "_train", F.transform(training, lambda m: F.struct(
+            (_month_number(m["ds"]) - F.col("_first")).cast("double").alias("t"), F.month(m["ds"]).alias("month_num"),
+            m["y"].cast("double").alias("y"),
+        ))
+    )
+    df = df.withColumns({"_t": _mean(F.transform("_train", lambda m: m["t"])), "_y": _mean(F.transform("_train", lambda m: m["y"]))})
+    across = _sum(F.transform("_train", lambda m: (m["t"] - F.col("_t")) * (m["y"] - F.col("_y"))))
+    along = _sum(F.transform("_train", lambda m: (m["t"] - F.col("_t")) * (m["t"] - F.col("_t"))))
+    df = df.withColumn("slope", F.try_divide(across, along)).withColumns(
+        {"intercept": F.col("_y") - F.col("slope") * F.col("_t"), "_floor": F.col("_y") * TREND_FLOOR}
+    )
+    raw = F.transform(F.sequence(F.lit(1), F.lit(12)), lambda month: _mean(F.transform(
+        F.filter("_train", lambda m: m["month_num"] == month), lambda m: F.try_divide(m["y"], _trend(m["t"]))
+    )))
+    df = df.withColumn("_raw", raw).withColumn("_level", _mean(F.col("_raw")))
+    errors = F.transform("_train", lambda m: F.try_divide(m["y"], _trend(m["t"]) * _index(m["month_num"])) - 1)
+    df = df.withColumn("_errors", F.filter(errors, lambda e: e.isNotNull())).withColumn("_error", _mean(F.col("_errors")))
+    squares = _sum(F.transform("_errors", lambda e: (e - F.col("_error")) * (e - F.col("_error"))))
+    spread = F.when(F.size("_errors") > 1, F.sqrt(squares / (F.size("_errors") - 1)))
+    return df.withColumn("residual_sd", spread).drop("_train", "_t", "_y", "_errors", "_error")
+
+
+def _index(month: Column) -> Column:
+    """The seasonal index of a calendar month, 1 for months never seen."""
+    return F.coalesce(F.get("_raw", month - 1) / F.col("_level"), F.lit(1.0))
+
+
 def fit_trend_season(series: DataFrame, keys: Iterable[str] = ()) -> DataFrame:
     """Per series and observed calendar month: trend, seasonal index, residual spread and extent."""
     keys = list(keys)
-    one = [F.first(c).alias(c) for c in ("slope", "intercept", "seasonal_index", "residual_sd")]
-    fitted = _fit(series, keys, F.lit(True))
-    whole = Window.partitionBy(*keys)
-    extent = {
-        "months": F.count("*").over(whole),
-        "first_month": F.min("ds").over(whole),
-        "last_month": F.max("ds").over(whole),
-    }
-    kept = [F.first(c).alias(c) for c in extent]
-    return fitted.withColumns(extent).groupBy(*keys, "month_num").agg(*one, *kept)
+    fitted = _fit(_gathered(series, keys), F.col("_months"))
+    seen = F.array_distinct(F.transform("_months", lambda m: F.month(m["ds"])))
+    return fitted.withColumn("month_num", F.explode(seen)).select(
+        *keys, "month_num", "slope", "intercept", _index(F.col("month_num")).alias("seasonal_index"), "residual_sd",
+        F.size("_months").cast("bigint").alias("months"), F.get("_months", 0)["ds"].alias("first_month"),
+        F.element_at("_months", -1)["ds"].alias("last_month"),
+    )
 
 
 def forecast_horizon(
@@ -111,31 +134,24 @@ def forecast_horizon(
     ``carry`` names further columns to keep for the history. Series shorter than ``min_months`` are left out. Calendar
     months never seen get index 1. A trend that falls below ``TREND_FLOOR`` of the series' mean stays there.
     """
-    keys = list(keys)
+    keys, carry = list(keys), list(carry)
     z = NormalDist().inv_cdf(0.5 + level / 2)
-    whole = Window.partitionBy(*keys)
-    steps = F.when(F.col("ds") == F.col("last_month"), F.sequence(F.lit(0), F.lit(periods))).otherwise(
-        F.array(F.lit(0))
-    )
-    same_month = F.filter("_indices", lambda pair: pair["month_num"] == F.col("month_num"))
-    known = F.get(same_month, 0)["_raw"] / F.col("_mean")
+    fitted = _fit(_gathered(series, keys, carry).where(F.size("_months") >= min_months), F.col("_months"))
+    fitted = fitted.withColumn("last_month", F.element_at("_months", -1)["ds"])
+    types = {c: series.schema[c].dataType for c in ["y", *carry]}
+    ahead = F.transform(F.sequence(F.lit(1), F.lit(periods)), lambda i: F.struct(
+        F.add_months("last_month", i).alias("ds"), *[F.lit(None).cast(kind).alias(c) for c, kind in types.items()]
+    ))
+    months = F.concat("_months", ahead) if periods > 0 else F.col("_months")
+    month = fitted.withColumn("_m", F.explode(months)).withColumn("ds", F.col("_m.ds"))
     return (
-        _fit(series, keys, F.lit(True))
-        .withColumn("last_month", F.max("ds").over(whole))
-        .withColumn("_months", F.count("*").over(whole))
-        .where(F.col("_months") >= min_months)
-        .withColumn("step", F.explode(steps))
-        .withColumn("ds", F.add_months("ds", F.col("step")))
-        .withColumn("t", F.col("t") + F.col("step"))
-        .withColumn("month_num", F.month("ds"))
-        .withColumns({c: F.when(F.col("step") == 0, F.col(c)) for c in ["y", *carry]})
-        .withColumn("trend", _trend())
-        .withColumn("seasonal_index", F.coalesce(known, F.lit(1.0)))
+        month.withColumn("trend", _trend((_month_number("ds") - F.col("_first")).cast("double")))
+        .withColumn("seasonal_index", _index(F.month("ds")))
         .withColumn("yhat", F.col("trend") * F.col("seasonal_index"))
         .withColumn("yhat_lower", F.col("yhat") - z * F.col("residual_sd") * F.col("yhat"))
         .withColumn("yhat_upper", F.col("yhat") + z * F.col("residual_sd") * F.col("yhat"))
-        .select(*keys, "ds", "y", "trend", "seasonal_index", "yhat", "yhat_lower", "yhat_upper", "last_month",
-                *carry)
+        .select(*keys, "ds", F.col("_m.y").alias("y"), "trend", "seasonal_index", "yhat", "yhat_lower", "yhat_upper", "last_month",
+                *[F.col(f"_m.{c}").alias(c) for c in carry])
     )
 
 
@@ -149,32 +165,27 @@ def backtest_points(
 ) -> DataFrame:
     """Rolling-origin forecasts: every month after a cutoff, by a model refitted up to the cutoff.
 
-    Cutoffs run back from the last month less the horizon while the initial training span remains. Every month is
-    repeated once per cutoff that uses it, all series and cutoffs in one job.
+    Cutoffs run back from the last month less the horizon while the initial training span remains. Every series is
+    repeated once per cutoff, as one row that holds its months, all series and cutoffs in one job.
     """
     keys = list(keys)
-    whole = Window.partitionBy(*keys)
-    initial = F.floor(F.col("_months") * initial_share * BACKTEST_MONTH_DAYS).cast("int")
-    newest = F.date_sub(F.max("ds").over(whole), horizon_days)
-    oldest = F.date_add(F.min("ds").over(whole), initial)
+    rows = _gathered(series, keys).where(F.size("_months") >= min_months)
+    initial = F.floor(F.size("_months") * initial_share * BACKTEST_MONTH_DAYS).cast("int")
+    rows = rows.withColumns({
+        "_newest": F.date_sub(F.element_at("_months", -1)["ds"], horizon_days),
+        "_oldest": F.date_add(F.get("_months", 0)["ds"], initial),
+    }).where("_newest >= _oldest")
     cutoffs = F.transform(
         F.sequence(F.lit(0), F.floor(F.date_diff("_newest", "_oldest") / step_days).cast("int")),
         lambda i: F.date_sub(F.col("_newest"), i * step_days),
     )
-    rows = (
-        series.select(*keys, "ds", "y")
-        .withColumn("_months", F.count("*").over(whole))
-        .where(F.col("_months") >= min_months)
-        .withColumn("_newest", newest)
-        .withColumn("_oldest", oldest)
-        .where("_newest >= _oldest")
-        .withColumn("cutoff", F.explode(cutoffs))
-        .where(F.col("ds") <= F.date_add("cutoff", horizon_days))
-        .drop("_newest", "_oldest")
-    )
-    fitted = _fit(rows, [*keys, "cutoff"], F.col("ds") <= F.col("cutoff"))
-    return fitted.where("ds > cutoff").select(
-        *keys, "cutoff", "ds", F.date_diff("ds", "cutoff").alias("horizon_days"), "y", F.col("fitted").alias("yhat")
+    rows = rows.withColumn("cutoff", F.explode(cutoffs))
+    ahead = F.filter("_months", lambda m: (m["ds"] > F.col("cutoff")) & (m["ds"] <= F.date_add("cutoff", horizon_days)))
+    fitted = _fit(rows.withColumn("_ahead", ahead), F.filter("_months", lambda m: m["ds"] <= F.col("cutoff")))
+    month = F.col("_m.ds")
+    return fitted.withColumn("_m", F.explode("_ahead")).select(
+        *keys, "cutoff", month.alias("ds"), F.date_diff(month, "cutoff").alias("horizon_days"), F.col("_m.y").alias("y"),
+        (_trend((_month_number(month) - F.col("_first")).cast("double")) * _index(F.month(month))).alias("yhat"),
     )
 
 
