@@ -52,6 +52,7 @@ def clv_tier(value: Column, tiers: list[tuple[float, str]] = CLV_TIERS, lowest:
     return label.otherwise(lowest)
 
 
+# The rules and names of the segments.
 def rfm_segment(r: Column, f: Column, m: Column) -> Column:
     """Segment of three scores; the first rule that holds names it."""
     return (
