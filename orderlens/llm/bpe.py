@@ -32,10 +32,10 @@ END = "</w>"
 NEVER = 1 << 60
 FINAL = 0x1000
 PAIR = 32  # bits of a token id in a pair's key
-CACHED_WORDS = 100_000  # words of a generation; a worker process keeps two, from batch to batch and task to task
+CACHED_WORDS = 60_000  # words of a generation; a worker process keeps two, from batch to batch and task to task
 CACHED_SYMBOLS = 16 << 20  # and their letters
-CACHED_PAIRS = 400_000
-STEP_BYTES = 4 << 20  # text that is cut and encoded together; a single longer text is a step of its own
+CACHED_PAIRS = 250_000
+STEP_BYTES = 1 << 20  # text that is cut and encoded together; a single longer text is a step of its own
 
 #: White space and the word pattern of the vocabulary file.
 SPACE = r"[\t-\r \x85\xa0  -     　]"
