@@ -21,6 +21,12 @@ RUNTIME_CONF = {
 }
 
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+# Shuffles begin with so many times the session's partitions, and AQE merges the small ones: a task's share, and with it
+# the memory of its sorts and aggregates, stays near the advisory size when the input grows.
+FINER_SHUFFLES = 10
+
+
 def build_session(app_name: str = "orderlens", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the library's settings; on a cluster leave ``master`` to spark-submit."""
     builder = SparkSession.builder.appName(app_name)
@@ -35,6 +41,8 @@ def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session made elsewhere."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    if not spark.conf.get(INITIAL_PARTITIONS, None):
+        spark.conf.set(INITIAL_PARTITIONS, FINER_SHUFFLES * int(spark.conf.get("spark.sql.shuffle.partitions")))
     return spark
 
 

@@ -101,3 +101,13 @@ def test_etl_run_keeps_the_enriched_lines_only(spark):
         left = {path.split("/")[-1].split("-")[0] for path in glob.glob(f"{folder.removeprefix('file:')}/*")}
         assert left - {"checkpoints"} == {"enriched_lines"}
     assert glob.glob(f"{target.removeprefix('file:')}/*.csv.gz")
+
+
+def test_shuffles_begin_finer_than_the_sessions_partitions(spark):
+    before = spark.conf.get(session.INITIAL_PARTITIONS)
+    assert int(before) == session.FINER_SHUFFLES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        spark.conf.set(session.INITIAL_PARTITIONS, "7")
+        assert session.tune(spark).conf.get(session.INITIAL_PARTITIONS) == "7"
+    finally:
+        spark.conf.set(session.INITIAL_PARTITIONS, before)
