@@ -3,17 +3,19 @@
 import glob
 from datetime import date
 
-from helpers import line, staging
+from helpers import fact, line, staging
 from pyspark.sql import functions as F
 
 from orderlens import session
+from orderlens.functions import membership
 from orderlens.functions.ranking import grouped_row_number
 from orderlens.operators import cleaning as c
 from orderlens.operators import features as f
+from orderlens.operators import warehouse as w
 from orderlens.plans.etl import run_etl
 from orderlens.schemas import RAW_HEADER
 from orderlens.session import shared_path, workspace
-from orderlens.sources.files import read_clean_sales, read_raw_sales, write_clean_sales, write_raw_sales
+from orderlens.sources.files import read_clean_sales, read_raw_sales, write_clean_sales, write_fact, write_raw_sales
 from orderlens.sources.tables import TradeTables
 
 DATA = "/root/testdata/sf0.001"
@@ -50,7 +52,7 @@ def test_copies_are_counted_whatever_the_filter_says(spark, monkeypatch):
     )
     expected = sorted(map(str, df.groupBy("a", "`b c`", "d").agg(F.count("*").alias("copies")).collect()))
     assert sorted(map(str, c.count_copies(df).collect())) == expected
-    monkeypatch.setattr(c, "_WORD", "0L")  # nearly every row is taken for a repeat
+    monkeypatch.setattr(membership, "WORD", "0L")  # nearly every row is taken for a repeat
     assert sorted(map(str, c.count_copies(df).collect())) == expected
     assert sorted(map(str, c.dedupe_rows(df).collect())) == sorted(map(str, df.distinct().collect()))
 
@@ -111,3 +113,38 @@ def test_shuffles_begin_finer_than_the_sessions_partitions(spark):
         assert session.tune(spark).conf.get(session.INITIAL_PARTITIONS) == "7"
     finally:
         spark.conf.set(session.INITIAL_PARTITIONS, before)
+
+
+def test_fact_lines_equal_the_lookup_of_derived_lines(spark):
+    lines = session.stored(staging(
+        spark, *[line(row_id=i, customer_id=f"C{i % 3}", product_id=f"P{i % 4}", sales=i + 20, quantity=i % 3) for i in range(12)],
+        line(row_id=20, ship_mode="Unknown"), line(row_id=21, order_date=None),
+    ), "lines")
+    members = w.dim_customers(lines), w.dim_products(lines), w.dim_ship_mode(spark)
+    made, old = w.fact_lines(w.fact_source(lines), *members), w.lookup_keys(w.derive_fact(lines), *members)
+    assert sorted(map(str, made.select(*old.columns).collect())) == sorted(map(str, old.collect())) and made.count() == 13
+    assert not [x for x in exchanges(made) if "cogs" in x or "net_sales" in x]  # measures are derived after the joins
+
+
+def test_only_lines_of_the_last_day_are_shuffled_for_attributes(spark):
+    lines = session.stored(staging(spark, *[
+        line(row_id=i, order_id=f"O{i:03}", customer_id=f"C{i % 5}", segment=f"S{i}", order_date=date(2020, 1, 1 + i % 25) if i else None)
+        for i in range(100)
+    ]), "lines")
+    found = w.latest_attributes(lines, "customer_id", ["segment", "region"])
+    assert "_maybe" in found._jdf.queryExecution().analyzed().toString()
+    best = {}
+    for r in lines.where("order_date IS NOT NULL").collect():
+        best[r.customer_id] = max(best.get(r.customer_id, (date.min,)), (r.order_date, r.order_id, r.segment))
+    assert {r.customer_id: r.segment for r in found.collect()} == {k: v[2] for k, v in best.items()}
+
+
+def test_lines_of_a_written_fact_table_are_not_shuffled_again(spark):
+    star = fact(spark, line(), line(row_id=2, order_date=date(2020, 3, 1)), line(row_id=3, order_date=date(2021, 3, 1)))
+    first, again = shared_path(spark, "fact"), shared_path(spark, "fact")
+    write_fact(star.fact, first)
+    write_fact(spark.read.parquet(first), again, "overwrite", grouped=True)
+    for path in (first, again):
+        written = spark.read.parquet(path)
+        assert written.select("sales_sk").distinct().count() == 3
+        assert sorted(map(str, written.drop("sales_sk").collect())) == sorted(map(str, spark.read.parquet(first).drop("sales_sk").collect()))
