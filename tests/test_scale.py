@@ -1,6 +1,7 @@
 """What is shuffled and stored stays narrow; figures do not change by it."""
 
 import glob
+import time
 from datetime import date
 
 from helpers import fact, line, staging
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orderlens import session
 from orderlens.functions import membership
-from orderlens.functions.ranking import grouped_row_number
+from orderlens.functions.ranking import CELL, grouped_row_number
 from orderlens.operators import cleaning as c
 from orderlens.operators import features as f
 from orderlens.operators import warehouse as w
@@ -148,3 +149,46 @@ def test_lines_of_a_written_fact_table_are_not_shuffled_again(spark):
         written = spark.read.parquet(path)
         assert written.select("sales_sk").distinct().count() == 3
         assert sorted(map(str, written.drop("sales_sk").collect())) == sorted(map(str, spark.read.parquet(first).drop("sales_sk").collect()))
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {path for folder in folders for path in glob.glob(f"{folder}/*/shuffle_*.data")}
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    before = shuffle_files(spark)
+    session.stored(spark.range(1000).repartition(3, "id"), "rows")
+    write_raw_sales(raw(spark, [{"Row ID": str(i)} for i in range(50)]).repartition(3, "`Row ID`"), shared_path(spark, "raw"))
+    until = time.time() + 10  # they are removed beside what follows
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(session.SHUFFLE_CLEANUP, "false") == "false"  # other DataFrames keep theirs
+
+
+def test_lines_dealt_out_by_customer_and_day_are_not_shuffled_to_be_enriched(spark, monkeypatch):
+    monkeypatch.setattr(session, "BUCKET_BYTES", 2000)
+    lines = session.stored(staging(spark, *[
+        line(row_id=i, order_id=f"O{i % 9}", customer_id=f"C{i % 3}" if i % 4 else None, order_date=date(2020, 1 + i % 2, 1)) for i in range(40)
+    ]), "lines")
+    names = {table.name for table in spark.catalog.listTables()}
+    with workspace(spark):
+        dealt = session.finished(spark, "dealt", lambda: f.by_customer_day(lines), CELL)
+        assert dealt.rdd.getNumPartitions() > 1
+        found = f.enrich_sales(dealt)
+        assert not [x for x in exchanges(found) if "row_id" in x or "product_name" in x]
+        assert sorted(map(str, found.collect())) == sorted(map(str, f.enrich_sales(lines).collect()))
+    assert {table.name for table in spark.catalog.listTables()} == names
+
+
+def test_lines_are_numbered_before_their_part_is_looked_up(spark, tmp_path):
+    """A line whose part is unknown counts in its order's numbers, one whose part is there twice appears twice."""
+    for name in ("lineitem", "orders", "customer", "nation", "region"):
+        spark.read.parquet(f"{DATA}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    parts = spark.read.parquet(f"{DATA}/part.parquet")
+    parts.where("p_partkey % 3 != 0").union(parts.where("p_partkey % 5 = 1")).write.parquet(f"{tmp_path}/part.parquet")
+    numbered = TradeTables(spark, str(tmp_path)).sales_lines(customers=True, numbered=True).select("order_id", "row_id", "product_sk")
+    expected = numbered.join(parts.where("p_partkey % 3 != 0").union(parts.where("p_partkey % 5 = 1")), F.col("product_sk") == F.col("p_partkey"))
+    found = TradeTables(spark, str(tmp_path)).staging().select(F.col("order_id").cast("bigint").alias("order_id"), "row_id", F.col("product_id").cast("bigint").alias("product_sk"))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.select("order_id", "row_id", "product_sk").collect()))
