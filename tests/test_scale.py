@@ -8,7 +8,7 @@ from helpers import fact, line, staging
 from pyspark.sql import functions as F
 
 from orderlens import session
-from orderlens.functions import membership
+from orderlens.functions import codes, membership
 from orderlens.functions.ranking import CELL, grouped_row_number
 from orderlens.operators import cleaning as c
 from orderlens.operators import features as f
@@ -192,3 +192,51 @@ def test_lines_are_numbered_before_their_part_is_looked_up(spark, tmp_path):
     expected = numbered.join(parts.where("p_partkey % 3 != 0").union(parts.where("p_partkey % 5 = 1")), F.col("product_sk") == F.col("p_partkey"))
     found = TradeTables(spark, str(tmp_path)).staging().select(F.col("order_id").cast("bigint").alias("order_id"), "row_id", F.col("product_id").cast("bigint").alias("product_sk"))
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.select("order_id", "row_id", "product_sk").collect()))
+
+
+def test_lines_are_not_shuffled_for_the_keys_of_their_members(spark):
+    lines = session.stored(staging(
+        spark, *[line(row_id=i, order_id=f"O{i % 9}", customer_id=f"C{i % 3}", product_id=f"P{i % 4}") for i in range(40)],
+        line(row_id=50, ship_mode="Unknown"), line(row_id=51, customer_id=None), line(row_id=52, product_id=None),
+        line(row_id=53, customer_id="new"), line(row_id=None), line(row_id=None),
+    ), "lines")
+    known = lines.where("customer_id IS NULL OR customer_id != 'new'")
+    members = w.dim_customers(known), w.dim_products(known), w.dim_ship_mode(spark)
+    plain = w.fact_lines(w.fact_source(lines), *members)
+    with workspace(spark):
+        dealt = session.finished(spark, "dealt", lambda: w.by_order(lines), w.ORDER)
+        assert sorted(map(str, w.dim_customers(dealt).drop("created_at", "updated_at").collect())) == sorted(
+            map(str, w.dim_customers(lines).drop("created_at", "updated_at").collect()))
+        found = w.fact_lines(w.fact_source(dealt), *members, by_month=True)
+        wide = [x for x in exchanges(found) if "row_id" in x]
+        assert all("_month" in x for x in wide)  # for the months of the fact table only
+        assert sorted(map(str, found.select(*plain.columns).collect())) == sorted(map(str, plain.collect())) and plain.count() == 42
+
+
+def test_a_members_value_is_joined_by_codes_or_as_it_is(spark, monkeypatch):
+    lines = spark.createDataFrame([(i % 700 - 20 if i % 11 else None, i) for i in range(2000)], "k bigint, n int")
+    members = {
+        "neighbours": [(i, f"v{i % 5}" if i % 7 else None) for i in range(-10, 600)],
+        "no values": [(i, None) for i in range(9)],
+        "none": [],
+        "twice": [(1, "a"), (1, "b"), (2, "a"), (None, "c")],
+        "far apart": [(i * 2**40, f"v{i % 5}") for i in range(50)],
+        "many values": [(i, f"v{i}") for i in range(400)],
+    }
+    monkeypatch.setattr(codes, "MOST_BLOCKS", 10)
+    for name, pairs in members.items():
+        table = spark.createDataFrame(pairs, "k bigint, v string")
+        found = codes.join_value(lines, table, "k", "v")
+        assert sorted(map(str, found.select("k", "n", "v").collect())) == sorted(map(str, lines.join(table, "k").select("k", "n", "v").collect())), name
+        by_codes = "_codes" in found._jdf.queryExecution().analyzed().toString()
+        assert by_codes == (name in ("neighbours", "no values", "none")), name
+
+
+def test_the_monthly_summary_shuffles_no_lines_for_category_and_region(spark):
+    star = fact(spark, *[
+        line(row_id=i, order_id=f"O{i % 3}", customer_id=f"C{i}", region=f"R{i % 2}", product_id=f"P{i}", category=f"K{i % 4}") for i in range(8)
+    ])
+    found = w.monthly_sales(session.stored(star.fact, "fact"), star.customers, star.products)
+    assert not [x for x in exchanges(found) if "net_sales" in x]
+    assert sorted((r.category, r.region, r.total_orders, r.total_quantity) for r in found.collect()) == [
+        ("K0", "R0", 2, 4), ("K1", "R1", 2, 4), ("K2", "R0", 2, 4), ("K3", "R1", 2, 4)]
