@@ -14,6 +14,7 @@ from orderlens.operators import cleaning as c
 from orderlens.operators import features as f
 from orderlens.operators import warehouse as w
 from orderlens.plans.etl import run_etl
+from orderlens.registry import run
 from orderlens.schemas import RAW_HEADER
 from orderlens.session import shared_path, workspace
 from orderlens.sources.files import read_clean_sales, read_raw_sales, write_clean_sales, write_fact, write_raw_sales
@@ -232,6 +233,11 @@ def test_a_members_value_is_joined_by_codes_or_as_it_is(spark, monkeypatch):
         assert by_codes == (name in ("neighbours", "no values", "none")), name
 
 
+def test_the_four_ship_modes_do_not_deal_out_the_fact(spark):
+    plan = run("fact_dim_lookup", spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(ship_mode_sk" not in plan
+
+
 def test_the_monthly_summary_shuffles_no_lines_for_category_and_region(spark):
     star = fact(spark, *[
         line(row_id=i, order_id=f"O{i % 3}", customer_id=f"C{i}", region=f"R{i % 2}", product_id=f"P{i}", category=f"K{i % 4}") for i in range(8)
